@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table of fewer files than cores; a larger one is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not df.isStreaming and df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def n_rows(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
@@ -29,7 +37,7 @@ def every(column: str, n: int, text: str) -> Column:
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     day = F.lpad((1 + F.floor(F.col("doc_id") / 7) % 30).cast("string"), 2, "0")
-    return docs.withColumn("page_id", F.col("doc_id") % n_rows(pages)).join(
+    return spread(docs, "doc_id").withColumn("page_id", F.col("doc_id") % n_rows(pages)).join(
         pages.select("page_id", "url"), "page_id", "left"
     ).select(
         "doc_id",
@@ -59,10 +67,10 @@ def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
 def tweets(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     rows = (
-        events(spark, sf_dir, stream)
+        spread(events(spark, sf_dir, stream), "event_id")
         .withColumn("doc_id", F.col("event_id") % n_rows(docs))
         .withColumn("page_id", F.col("event_id") % n_rows(pages))
-        .join(docs.select("doc_id", "text", "lang", "source"), "doc_id")
+        .join(spread(docs.select("doc_id", "text", "lang", "source"), "doc_id"), "doc_id")
         .join(pages.select("page_id", "url"), "page_id")
     )
     text = F.concat(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from trendloom import dictionaries as d
 from trendloom.functions import stem
-from trendloom.functions.text import ASCII_SPACE, UNICODE_SPACE
+from trendloom.functions.text import UNICODE_SPACE
 from trendloom.functions.urls import NETLOC, PRIMARY_DOMAIN
 
 
@@ -69,7 +69,7 @@ def raw_tokens_b(text: str) -> str:
     out = f"lower(replace({normalize(f"replace({text}, '\\n', ' ')")}, 'b''', ''))"
     for phrase, word in d.PHRASES.items():
         out = f"replace({out}, {lit(phrase)}, {lit(word)})"
-    out = f"string_split_regex({out}, {lit(ASCII_SPACE)})"
+    out = f"string_split_regex({out}, '[ \\t\\n\\x0B\\f\\r]+')"
     out = (f"list_filter({out}, lambda x: NOT contains(x, 'http') AND NOT starts_with(x, '@') "
            f"AND x <> 'rt')")
     out = f"list_transform({out}, lambda x: regexp_replace(x, '[^a-z]', '', 'g'))"
@@ -137,7 +137,7 @@ stems AS (SELECT term, CASE WHEN length(term) <= 2 THEN term
 
 
 NEWS = f"""
-news AS (
+news AS MATERIALIZED (
   SELECT d.doc_id,
     CASE WHEN d.doc_id % 4 <> 0 THEN 'author' || (d.doc_id % 97) END AS author,
     CASE WHEN d.doc_id % 3 <> 0 THEN d.lang || ' [+' || d.n_chars || ' chars]' END AS content,
@@ -152,7 +152,7 @@ news AS (
 )"""
 
 TWEETS = f"""
-tweets AS (
+tweets AS MATERIALIZED (
   SELECT e.event_id AS id, e.ts, e.user_id, d.lang, d.source, p.url,
     'user' || e.user_id AS screen_name,
     CAST(e.user_id * 7919 % 100000 AS INTEGER) AS user_followers_count,

@@ -298,7 +298,7 @@ def url_join_all_links(spark, sf_dir):
 
 
 SHARED = """
-shared AS (
+shared AS MATERIALIZED (
   SELECT n.url, t.id, n.doc_id, concat_ws(' ', t.text, n.content, n.description) AS all_content
   FROM tweets t JOIN news n ON t.url = n.url
   QUALIFY row_number() OVER (PARTITION BY n.url ORDER BY t.id, n.doc_id) = 1
@@ -539,7 +539,7 @@ def clean_tokens_d(spark, sf_dir):
 # --- vocabulary ----------------------------------------------------------------------
 
 A_TERMS = f"""
-a_counts AS (
+a_counts AS MATERIALIZED (
   SELECT term, count(*) AS n
   FROM (SELECT unnest({o.tokens_a('description')}) AS term FROM news) GROUP BY term
 )"""
