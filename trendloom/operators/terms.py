@@ -20,7 +20,7 @@ TOP = 5
 
 def doc_terms(docs: DataFrame, ids: list[str], tokens: str) -> DataFrame:
     """One row (ids, doc_len, term, n) per document and distinct token."""
-    rows = docs.select(*ids, F.array_sort(tokens).alias("_s"))
+    rows = docs.select(*ids, F.sort_array(tokens).alias("_s"))
     last = F.size("_s") - 1
     starts = F.when(last >= 0, F.filter(
         F.sequence(F.lit(0), last),
