@@ -159,7 +159,11 @@ def top_terms_of_slides(stats: DataFrame, counts: DataFrame, topic: str, window:
     """Per-slide statistics and document counts -> ranked terms per (window, topic)."""
     start = F.explode(window_starts(F.col("slide"), window, slide))
     group = ["window_start", topic]
-    merged = merge_stats(stats.withColumn("window_start", start), *group)
+    # Slides are brought together by term before they fan out into windows, so the shuffle
+    # moves each slide's row once and the merge needs none. A term has at most one row per
+    # topic and slide here, however frequent it is.
+    by_term = stats.repartition(topic, "term")
+    merged = merge_stats(by_term.withColumn("window_start", start), *group)
     n_docs = counts.withColumn("window_start", start).groupBy(*group).agg(
         F.sum("n_docs").alias("n_docs"))
     return with_window_bounds(top_terms_by_group(merged, n_docs, group, pool, k), window)

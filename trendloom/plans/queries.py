@@ -706,7 +706,7 @@ def stream_trends(spark, sf_dir):
     trend_table = jobs.TrendTable(spark, f"{path}/table", TREND_W, TREND_S)
     stream = _hit_docs(b.tweets(spark, sf_dir, stream=True))
     jobs.run(jobs.trends(stream, trend_table, f"{path}/checkpoint"))
-    return trend_table.top()
+    return trend_table.latest()
 
 
 # --- topics --------------------------------------------------------------------------
