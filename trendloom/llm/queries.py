@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trendloom.llm import jaccard_join, quality
+import corpus_pipeline
+from trendloom.llm import decontaminate, jaccard_join, mixing, quality, sharding, template_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op4_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("size") * F.col("times")).alias("taken"))
+
+
+@query()
+def op5_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
+
+
 @query("""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -63,3 +78,14 @@ def op10_quality(spark, sf_dir):
     held_out = quality.fold("doc_id", quality.FOLDS) == quality.HELD_OUT
     scored = quality.score(docs, weights)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query(template_sql.ORACLE)
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
