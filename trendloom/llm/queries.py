@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendloom.llm import decontaminate, jaccard_join, mixing, quality, sharding, template_sql
+from trendloom.llm import (
+    decontaminate, jaccard_join, maxscore, mixing, quality, sharding, template_sql, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +91,46 @@ def op8_decontamination(spark, sf_dir):
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://')
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+urls AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+rules(h, p, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits AS (
+  SELECT host, path, max_by(h || p, length(h || p)) AS rule,
+    max_by(verdict, length(h || p)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM urls) JOIN rules
+    ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE
+  WHEN regexp_matches(path, '^/(cgi-bin/|wp-login\\.|tag/|(.|\\n)*/(login|cart|checkout)/)')
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls LEFT JOIN fits USING (host, path)""")
+def op1_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+@query("""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))
+    AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def op3_maxscore(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.search(vectors, vectors.where("vec_id % 50 = 0"))
