@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from trendloom.llm import (
     decontaminate, jaccard_join, maxscore, mixing, quality, sharding, template_sql, url_filter,
+    warc,
 )
+from trendloom.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -134,3 +136,22 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 def op3_maxscore(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return maxscore.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+letters AS (
+  SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((('0x' || substr(hex, 5 * CAST(floor(i / 4) AS INTEGER) + 1, 5))::INTEGER
+      // CAST(pow(32, 3 - i % 4) AS INTEGER)) % 32 AS INTEGER), 1), '' ORDER BY i) AS digest
+  FROM (SELECT DISTINCT hex FROM payloads) CROSS JOIN (SELECT unnest(range(32)) AS i) GROUP BY hex),
+firsts AS (SELECT html, max(page_id) AS first FROM payloads GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads JOIN letters USING (hex) JOIN firsts USING (html)""")
+def op7_warc(spark, sf_dir):
+    path = work_dir(spark, "archives")
+    warc.write_archives(warc.records(table(spark, sf_dir, "pages")), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
