@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trendloom.llm import (
-    decontaminate, jaccard_join, maxscore, mixing, quality, sharding, template_sql, url_filter,
-    warc,
+    decontaminate, jaccard_join, language, maxscore, mixing, quality, sharding, template_sql,
+    url_filter, warc,
 )
 from trendloom.session import work_dir
 
@@ -155,3 +155,9 @@ def op7_warc(spark, sf_dir):
     warc.write_archives(warc.records(table(spark, sf_dir, "pages")), path)
     return warc.read_archives(spark, path).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op9_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, *language.fit(docs))
