@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from trendloom.llm import (
-    decontaminate, jaccard_join, language, maxscore, mixing, quality, sharding, template_sql,
-    url_filter, warc,
+    decontaminate, jaccard_join, language, maxscore, mixing, passages, quality, sharding,
+    template_sql, url_filter, warc,
 )
 from trendloom.session import work_dir
 
@@ -161,3 +161,8 @@ def op7_warc(spark, sf_dir):
 def op9_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, *language.fit(docs))
+
+
+@query()
+def op2_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
