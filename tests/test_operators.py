@@ -12,37 +12,59 @@ from trendloom.sources import readers, sinks
 from trendloom.streaming import metrics
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_skew_join_equals_plain_join(spark, how):
+@pytest.mark.parametrize("how,both", [
+    ("inner", False), ("left", False), ("left_semi", False), ("inner", True)])
+def test_skew_join_equals_plain_join(spark, how, both):
     rng = random.Random(5)
     left = [(i, "hot" if i % 3 == 0 else None if i % 31 == 0 else f"k{rng.randrange(400)}")
             for i in range(3000)]
     right = [("hot", j) for j in range(3)] + [(f"k{j}", j) for j in range(0, 500, 2)] + [(None, 9)]
+    if both:  # k2 is hot on the right only, "hot" on both sides
+        right += [("k2", -j) for j in range(300)] + [("hot", -j) for j in range(150)]
     a = spark.createDataFrame(left, "id int, key string")
     b = spark.createDataFrame(right, "key string, v int")
-    got = joins.skew_join(a, b, "key", ["id"], how, share=0.01, salts=8)
+    got = joins.skew_join(a, b, "key", ["id"], how, rows=100, right_spread=["v"] if both else None)
     want = a.join(b, "key", how)
     assert got.columns == want.columns
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
-def test_hot_keys_are_few_and_spread(spark):
+def test_hot_keys_get_parts_by_weight(spark):
     a = spark.range(10000).select(
         "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"))
     counts = a.groupBy("key").agg(F.count("*").alias("n"))
-    hot = joins.hot_keys(counts, "key", "n")
-    assert [row["key"] for row in hot.collect()] == [0]
-    plan = joins.skew_join(a, a, "key", ["id"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+    hot = joins.hot_keys(counts, "key", "n", "parts", 100)
+    assert [tuple(row) for row in hot.collect()] == [(0, 34)]
+    assert joins.hot_keys(counts, "key", "n", "parts", 4000).count() == 0
+    joined = joins.skew_join(a, spark.range(5).withColumnRenamed("id", "key"), "key", ["id"],
+                             rows=100)
+    assert joined.count() == a.where("key < 5").count()
+
+
+def test_right_side_of_an_outer_join_is_not_split(spark):
+    a = spark.range(3).withColumnRenamed("id", "key")
+    with pytest.raises(ValueError):
+        joins.skew_join(a, a, "key", ["key"], "left", right_spread=["key"])
+
+
+def test_replacements(spark):
+    rows = spark.createDataFrame(
+        [(1, ["a", "b", "a", None]), (2, []), (3, None), (4, ["x"]), (5, ["b", "c"])],
+        "id int, urls array<string>")
+    table = spark.createDataFrame([("a", "A"), ("b", "B"), ("z", "Z"), (None, "N")],
+                                  "url string, location string")
+    got = {r["id"]: r["urls"] for r in joins.resolve_redirects(rows, table).collect()}
+    assert got == {1: ["A", "B", "A", None], 2: [], 3: None, 4: ["x"], 5: ["B", "c"]}
 
 
 def test_url_join(spark):
     tweets = spark.createDataFrame([(1, "a"), (2, "a,b"), (3, "c"), (4, None)], "id int, url string")
-    news = spark.createDataFrame([(10, "a"), (11, "a"), (12, "b"), (13, None)], "doc int, url string")
-    pairs = {(row["id"], row["doc"]) for row in joins.url_join(tweets, news).collect()}
+    news = spark.createDataFrame([(10, "a"), (11, "a"), (12, "b"), (13, None)],
+                                 "doc_id int, url string")
+    pairs = {(row["id"], row["doc_id"]) for row in joins.url_join(tweets, news).collect()}
     assert pairs == {(1, 10), (1, 11)}
     every = joins.url_join(tweets, news, explode_urls=True).collect()
-    assert {(row["id"], row["doc"]) for row in every} == {(1, 10), (1, 11), (2, 10), (2, 11), (2, 12)}
+    assert {(row["id"], row["doc_id"]) for row in every} == {(1, 10), (1, 11), (2, 10), (2, 11), (2, 12)}
     assert joins.url_join_counts(tweets, news).first() == (1, 2)
     assert joins.url_join_counts(tweets.where("id > 3"), news).first() == (0, 0)
 
@@ -197,12 +219,45 @@ def test_tables_and_files(spark, tmp_path):
     assert "newsdb" in {r[0] for r in readers.list_databases(spark).collect()}
     counts = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3)], "term string, n bigint")
     out = str(tmp_path / "counts")
-    sinks.write_term_counts(counts, out, single_file=True)
+    sinks.write_term_counts(counts, out, top=2)
     assert [tuple(r) for r in spark.read.schema("term string, n bigint").json(out).collect()] == [
-        ("b", 3), ("c", 3), ("a", 1)]
+        ("b", 3), ("c", 3)]
+    sinks.write_term_counts(counts, out)
+    assert spark.read.schema("term string, n bigint").json(out).count() == 3
 
 
 def test_empty_windows_are_filled(spark):
     counts = spark.createDataFrame([(0, 2), (600, 1), (2400, 4)], "window_start bigint, n bigint")
     rows = metrics.fill_empty(counts, 600).orderBy("window_start").collect()
     assert [tuple(r) for r in rows] == [(0, 2), (600, 1), (1200, 0), (1800, 0), (2400, 4)]
+    far = spark.createDataFrame([(0, 1), (600 * 25_000, 1)], "window_start bigint, n bigint")
+    filled = metrics.fill_empty(far, 600)
+    assert filled.count() == 25_001 and filled.agg(F.sum("n")).first()[0] == 2
+
+
+def test_windows_are_pruned_exactly(spark):
+    """With and without the bound, the same terms win, ties and sparse slides included."""
+    rng = random.Random(3)
+    rows = [("t", 60 * rng.randrange(30), f"w{int(rng.paretovariate(0.5)) % 90}", rng.randrange(1, 4),
+             1, rng.random()) for _ in range(1500)] + [("u", 600, "only", 1, 1, 0.5)]
+    stats = terms.merge_stats(spark.createDataFrame(
+        rows, "topic string, slide bigint, term string, n bigint, df bigint, max_tf double"),
+        "topic", "slide")
+    kept = terms.within_reach(stats, "topic", 300, 60, 5)
+    assert kept.count() < stats.count()
+    counts = stats.groupBy("topic", "slide").agg(F.lit(50).cast("bigint").alias("n_docs"))
+    start = F.explode(terms.window_starts(F.col("slide"), 300, 60))
+    merged = terms.merge_stats(stats.withColumn("window_start", start), "window_start", "topic")
+    want = terms.with_window_bounds(terms.top_terms_by_group(
+        merged, terms.window_docs(counts, "topic", 300, 60), ["window_start", "topic"], 5, 3), 300)
+    got = terms.top_terms_of_slides(stats, counts, "topic", 300, 60, 5, 3)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_kafka_and_console_writers(spark):
+    rows = spark.createDataFrame([("t", "k", "v")], "topic string, key string, value string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        sinks.kafka_writer(rows, "broker:9092").save()  # the connector is not on the classpath
+    query = sinks.console_writer(spark.readStream.format("rate").load(), "append").start()
+    query.stop()
+    assert query.exception() is None

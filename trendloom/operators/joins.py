@@ -2,50 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of the rows. Shares sum to one, so
-# fewer than 1 / HOT_SHARE keys can be hot: that bounds what is broadcast.
-HOT_SHARE = 0.001
-SALTS = 64
-SALT = "_salt"
+ROWS_PER_TASK = 1_000_000  # rows of one key that one task may take
+# Keys above that weight number total / ROWS_PER_TASK at most; the weight rises with the total
+# where this would be more keys than these. That bounds what is broadcast.
+MOST_HOT = 100_000
 
 
-def hot_keys(counts: DataFrame, key: str, weight: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys above ``share`` of the total weight, out of one row per key."""
+def hot_keys(counts: DataFrame, key: str, weight: str, salts: str,
+             rows: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, salts) of the keys too heavy for one task, out of one row per key: into how many
+    parts each is to be split."""
     total = counts.agg(F.sum(weight)).scalar()
-    return counts.where(F.col(weight) > share * total).select(key)
+    share = F.greatest(F.lit(rows), F.ceil(total / MOST_HOT))
+    return counts.where((F.col(weight) > share) & F.col(key).isNotNull()).select(
+        F.col(key).alias("_hot_key"), F.ceil(F.col(weight) / share).cast("int").alias(salts))
 
 
 def skew_join(left: DataFrame, right: DataFrame, key: str, spread: list[str],
               how: str = "inner", counts: DataFrame | None = None,
-              share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
-    """Equi-join on ``key`` with the left rows of hot keys spread over ``salts`` tasks.
-
-    Left rows of a hot key get a salt from a hash of the ``spread`` columns (repeatable,
-    so a retried task gives the same rows); right rows of a hot key are repeated once per
-    salt; all other rows have salt 0 and move once. ``counts`` is (key, weight) with one
-    row per key; without it the left side's keys are counted first, which reads that one
-    column and shuffles one row per key and task. ``how`` is inner, left or left_semi.
+              right_spread: list[str] | None = None, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Equi-join on ``key`` in which no task takes more than about ``rows`` rows of a key from
+    either side.
+
+    Rows of a heavy key get a part number from a hash of the ``spread`` columns (repeatable,
+    so a retried task gives the same rows), as many parts as the key's weight asks for; the
+    other side's rows of that key are repeated once per part. All other rows move once.
+    ``counts`` is (key, weight) of the left side with one row per key; without it that column
+    is counted first. The right side is split only if ``right_spread`` is given, which needs
+    an inner join; leave it out where the right side has few rows per key.
     """
-    if counts is None:
-        counts = left.groupBy(key).agg(F.count("*").alias("_weight"))
+    if right_spread and how != "inner":
+        raise ValueError("only an inner join can split its right side")
+
+    def weights(side: DataFrame) -> DataFrame:
+        return side.groupBy(key).agg(F.count("*").alias("_weight"))
+
+    counts = weights(left) if counts is None else counts
     weight = next(c for c in counts.columns if c != key)
-    hot = F.broadcast(
-        hot_keys(counts, key, weight, share)
-        .where(F.col(key).isNotNull()).withColumn("_hot", F.lit(True))
-    )
-    scatter = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    salted = left.join(hot, key, "left").withColumn(
-        # NULL keys match nothing, so an outer join may scatter them freely.
-        SALT, F.when(F.col("_hot") | F.col(key).isNull(), scatter).otherwise(0)
-    ).drop("_hot")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = right.join(hot, key, "left").withColumn(
-        SALT, F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
-    return salted.join(repeated, [key, SALT], how).drop(SALT)
+    left_hot = F.broadcast(hot_keys(counts, key, weight, "_left_parts", rows))
+    right_hot = F.broadcast(hot_keys(weights(right), key, "_weight", "_right_parts", rows)) \
+        if right_spread else None
+
+    def marked(side: DataFrame) -> DataFrame:
+        for hot in filter(None, (left_hot, right_hot)):
+            side = side.join(hot, side[key] == hot["_hot_key"], "left").drop("_hot_key")
+        parts = ["_left_parts"] + ["_right_parts"] * (right_hot is not None)
+        return side.withColumns({c: F.coalesce(c, F.lit(1)) for c in parts})
+
+    def every(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+    # A NULL key matches nothing, so its rows may go anywhere.
+    part = F.pmod(F.xxhash64(*spread), F.when(F.col(key).isNull(), 64)
+                  .otherwise(F.col("_left_parts"))).cast("int")
+    salted = marked(left).withColumn("_left_part", part)
+    repeated = marked(right).withColumn("_left_part", every("_left_parts"))
+    on = [key, "_left_part"]
+    if right_hot is not None:
+        salted = salted.withColumn("_right_part", every("_right_parts"))
+        repeated = repeated.withColumn("_right_part", F.pmod(
+            F.xxhash64(*right_spread), F.col("_right_parts")).cast("int"))
+        on.append("_right_part")
+    helpers = ["_left_parts", "_right_parts"]
+    return salted.drop(*helpers).join(repeated.drop(*helpers), on, how).drop(
+        "_left_part", "_right_part")
 
 
 def tweet_links(tweets: DataFrame, url: str = "url") -> DataFrame:
@@ -54,14 +77,14 @@ def tweet_links(tweets: DataFrame, url: str = "url") -> DataFrame:
 
 
 def url_join(tweets: DataFrame, news: DataFrame, tweet_id: str = "id",
-             explode_urls: bool = False) -> DataFrame:
+             explode_urls: bool = False, news_id: str = "doc_id") -> DataFrame:
     """Every (tweet, article) pair with the same URL; the URL appears once.
 
     A tweet with several links has them comma-joined and matches no article, unless
     ``explode_urls`` splits them.
     """
     left = tweet_links(tweets) if explode_urls else tweets
-    return skew_join(left, news, "url", [tweet_id])
+    return skew_join(left, news, "url", [tweet_id], right_spread=[news_id])
 
 
 def url_join_counts(tweets: DataFrame, news: DataFrame) -> DataFrame:
@@ -81,21 +104,28 @@ def all_content(*columns: str):
     return F.concat_ws(" ", *columns)
 
 
+def replacements(rows: DataFrame, row_id: str, values: str, table: DataFrame, old: str,
+                 new: str) -> DataFrame:
+    """Replace the elements of an array column that ``table(old, new)``, one row per ``old``,
+    knows. Only elements that are replaced move: each row's distinct elements meet the table
+    in an inner join, and the row gets back a small map. A row whose id is shared by several
+    rows gets their common map, which is the same for each element.
+    """
+    pairs = table.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
+    # The outer form: the plain one would test the array's size in an extra filter below.
+    known = rows.select(row_id, F.explode_outer(F.array_distinct(values)).alias("_old")).join(
+        pairs, "_old").select(row_id, "_old", "_new").distinct()
+    maps = known.groupBy(row_id).agg(F.map_from_entries(
+        F.collect_list(F.struct("_old", "_new"))).alias("_map"))
+    found = rows.join(maps, row_id, "left")
+    return found.withColumn(values, F.when(F.col("_map").isNull(), F.col(values)).otherwise(
+        F.transform(values, lambda v: F.coalesce(F.element_at("_map", v), v)))).drop("_map")
+
+
 def resolve_redirects(tweets: DataFrame, redirects: DataFrame, tweet_id: str = "id",
                       urls: str = "urls") -> DataFrame:
     """Replace each link of an array column by its target in ``redirects(url, location)``.
 
-    One hop, no network. ``redirects`` has one row per URL. The links are regrouped per
-    tweet, so a group is no larger than one tweet's links.
+    One hop, no network. NULL and empty arrays and NULL links stay what they were.
     """
-    links = tweets.select(tweet_id, F.posexplode(urls).alias("pos", "url"))
-    resolved = skew_join(links, redirects, "url", [tweet_id], "left").groupBy(tweet_id).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(
-                "pos", F.coalesce("location", "url").alias("url")))),
-            lambda link: link["url"],
-        ).alias("_resolved")
-    )
-    out = tweets.join(resolved, tweet_id, "left")
-    # A NULL or empty array has no links to regroup and stays what it was.
-    return out.withColumn(urls, F.coalesce("_resolved", urls)).drop("_resolved")
+    return replacements(tweets, tweet_id, urls, redirects, "url", "location")

@@ -44,6 +44,13 @@ def top_per_day(df: DataFrame, day: str, key: str, k: int = 3) -> DataFrame:
     )
 
 
+def ranked_per_day(df: DataFrame, day: str, key: str) -> DataFrame:
+    """All values of each day with their place in the day's order: most frequent first, then
+    by name. A day has one row per value, so no day holds its raw rows in one task."""
+    place = F.row_number().over(W.partitionBy(day).orderBy(F.desc("count"), key))
+    return count_by(df, day, key).withColumn("position", place)
+
+
 def rate_by_day(df: DataFrame, day: str, keywords: str) -> DataFrame:
     """Rows per (day, keyword combination) over all rows of that day.
 
@@ -104,11 +111,20 @@ INFLUENCER_ORDERS: Mapping[str, Sequence[str]] = {
 }
 
 
+def influencer_keys(order: str) -> list[Column]:
+    first, second = INFLUENCER_ORDERS[order]
+    return [F.desc(first), F.desc(second), F.col("screen_name")]
+
+
+def sorted_influencers(tweets: DataFrame, order: str = "posts") -> DataFrame:
+    """All accounts in order: a range-partitioned sort, no task has all rows."""
+    return influencers(tweets).orderBy(*influencer_keys(order))
+
+
 def top_influencers(tweets: DataFrame, order: str = "posts", k: int = 20) -> DataFrame:
     """The first k accounts with their rank, bubble size and chart position."""
-    first, second = INFLUENCER_ORDERS[order]
-    keys = [F.desc(first), F.desc(second), F.col("screen_name")]
-    top = influencers(tweets).orderBy(*keys).limit(k)
+    keys = influencer_keys(order)
+    top = sorted_influencers(tweets, order).limit(k)
     # Numbers at most k rows, hence one task.
     return top.withColumn("rank", F.row_number().over(W.orderBy(*keys))).select(
         F.lit(order).alias("ordering"), "rank", "screen_name", "user_followers_count",

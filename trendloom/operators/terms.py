@@ -7,11 +7,16 @@ afterwards are per-term sums, combined on the map side first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from trendloom.operators.joins import hot_keys, skew_join
+from trendloom.operators.joins import skew_join
+from trendloom.schemas import PAIR_REPORT, SLIDE_PAIRS, SLIDE_TERMS, TREND_REPORT
 
 DIGITS = 9
 POOL = 25
@@ -154,21 +159,128 @@ def windowed_top_terms(docs: DataFrame, topic: str, ts: str, tokens: str, window
     return top_terms_of_slides(stats, counts, topic, window, slide, pool, k)
 
 
+def within_reach(stats: DataFrame, topic: str, window: int, slide: int,
+                 pool: int = POOL) -> DataFrame:
+    """The per-slide rows that can matter to the pool of some window.
+
+    Of all windows over a slide, each has ``pool`` terms at least as frequent as the slide's
+    ``pool``-th term. A term that occurs less often than the least of these bounds in all
+    slides that share a window with this one is in no pool here. The bound is exact: a term
+    that is in a window's pool keeps all its rows of that window.
+    """
+    by_count = W.partitionBy(topic, "slide").orderBy(F.desc("n"))
+    bounds = stats.select(topic, "slide", "n").withColumn(
+        "_r", F.row_number().over(by_count)).where(F.col("_r") == pool).select(
+        topic, "slide", F.col("n").alias("bound"))
+    start = F.explode(window_starts(F.col("slide"), window, slide)).alias("window_start")
+    per_window = bounds.select(topic, start, "bound").groupBy(topic, "window_start").agg(
+        F.max("bound").alias("bound"))
+    # A slide whose windows do not all have a bound keeps all its rows.
+    covered = F.explode(F.sequence("window_start", F.col("window_start") + window - slide,
+                                   F.lit(slide).cast("bigint"))).alias("slide")
+    least = per_window.select(topic, covered, "bound").groupBy(topic, "slide").agg(
+        F.min("bound").alias("_least"), F.count("*").alias("_windows"))
+    around = W.partitionBy(topic, "term").orderBy("slide").rangeBetween(
+        slide - window, window - slide)
+    reach = stats.withColumn("_most", F.sum("n").over(around))
+    kept = reach.join(least, [topic, "slide"], "left").where(
+        F.col("_windows").isNull() | (F.col("_windows") < window // slide)
+        | (F.col("_most") >= F.col("_least")))
+    return kept.select(*stats.columns)
+
+
 def top_terms_of_slides(stats: DataFrame, counts: DataFrame, topic: str, window: int,
                         slide: int, pool: int = POOL, k: int = TOP) -> DataFrame:
     """Per-slide statistics and document counts -> ranked terms per (window, topic)."""
     start = F.explode(window_starts(F.col("slide"), window, slide))
     group = ["window_start", topic]
-    # Slides are brought together by term before they fan out into windows, so the shuffle
-    # moves each slide's row once and the merge needs none. A term has at most one row per
-    # topic and slide here, however frequent it is.
-    by_term = stats.repartition(topic, "term")
-    merged = merge_stats(by_term.withColumn("window_start", start), *group)
-    n_docs = counts.withColumn("window_start", start).groupBy(*group).agg(
-        F.sum("n_docs").alias("n_docs"))
+    # Only what can reach a pool fans out into windows.
+    near = within_reach(stats, topic, window, slide, pool)
+    merged = merge_stats(near.withColumn("window_start", start), *group)
+    n_docs = window_docs(counts, topic, window, slide)
     return with_window_bounds(top_terms_by_group(merged, n_docs, group, pool, k), window)
 
 
+def window_docs(counts: DataFrame, topic: str, window: int, slide: int) -> DataFrame:
+    """Documents per (window, topic) out of those per slide."""
+    start = F.explode(window_starts(F.col("slide"), window, slide))
+    return counts.withColumn("window_start", start).groupBy("window_start", topic).agg(
+        F.sum("n_docs").alias("n_docs"))
+
+
+def _best(entries: Column, k: int) -> Column:
+    return F.slice(F.sort_array(entries, asc=True), 1, k)
+
+
+def pair_stats(docs: DataFrame, topic: str, slide: str, tokens: str, k: int = TOP) -> DataFrame:
+    """(topic, slide, term, df, best) out of documents with an ``id``: a term's document
+    frequency and its ``k`` entries with the highest TF, as (-tf, id) in that order. Both
+    merge, and in any window a term's best pairs are among the best of its slides."""
+    terms = doc_terms(docs, [topic, slide, "id"], tokens).select(
+        topic, slide, "term", (-F.col("n") / F.col("doc_len")).alias("less_tf"),
+        F.col("id").cast("string").alias("id"))
+    keys = [topic, slide, "term"]
+    df = terms.groupBy(*keys).agg(F.count("*").alias("df"))
+    ranked = W.partitionBy(*keys).orderBy("less_tf", "id")
+    best = terms.withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") <= k).groupBy(
+        *keys).agg(F.sort_array(F.collect_list(F.struct("less_tf", "id"))).alias("best"))
+    return df.join(best, keys)
+
+
+def merge_pairs(stats: DataFrame, *group: str, k: int = TOP) -> DataFrame:
+    """Merge rows of one (group, term): as many as slides or batches hold it, ``k`` entries
+    each."""
+    return stats.groupBy(*group, "term").agg(
+        F.sum("df").alias("df"), _best(F.flatten(F.collect_list("best")), k).alias("best"))
+
+
+def top_pairs_of_slides(stats: DataFrame, counts: DataFrame, topic: str, window: int, slide: int,
+                        k: int = TOP) -> DataFrame:
+    """The ``k`` best (document, term) pairs per (window, topic), out of per-slide statistics;
+    a term may come up more than once."""
+    start = F.explode(window_starts(F.col("slide"), window, slide))
+    group = ["window_start", topic]
+    # Slides are brought together by term before they fan out: the merge needs no shuffle.
+    by_term = stats.repartition(topic, "term")
+    merged = merge_pairs(by_term.withColumn("window_start", start), *group, k=k).join(
+        window_docs(counts, topic, window, slide), group)
+    scores = merged.select(*group, "term", "n_docs", "df", F.explode("best").alias("_e")).select(
+        *group, "term", "_e.id",
+        rounded(idf(F.col("n_docs"), F.col("df")) * -F.col("_e.less_tf")).alias("score"))
+    best = W.partitionBy(*group).orderBy(F.desc("score"), "term", "id")
+    return with_window_bounds(
+        scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+            *group, "rank", "term", "id", "score"), window)
+
+
+def windowed_top_pairs(docs: DataFrame, topic: str, ts: str, tokens: str, window: int,
+                       slide: int, k: int = TOP) -> DataFrame:
+    """:func:`top_pairs_of_slides` of documents with an ``id``."""
+    docs = docs.withColumn("slide", slide_start(F.col(ts), slide))
+    counts = docs.groupBy(topic, "slide").agg(F.count("*").alias("n_docs"))
+    return top_pairs_of_slides(pair_stats(docs, topic, "slide", tokens, k), counts, topic, window,
+                               slide, k)
+
+
+@dataclass(frozen=True)
+class Ranking:
+    """What a trend table keeps per slide, and how windows are ranked from it."""
+
+    schema: StructType
+    report: StructType
+    stats: Callable[..., DataFrame]
+    merge: Callable[..., DataFrame]
+    rank: Callable[..., DataFrame]
+
+
+TOP_TERMS = Ranking(
+    SLIDE_TERMS, TREND_REPORT,
+    lambda docs, topic, slide, tokens: term_stats(
+        doc_terms(docs, [topic, slide], tokens), topic, slide),
+    merge_stats, top_terms_of_slides)
+TOP_PAIRS = Ranking(SLIDE_PAIRS, PAIR_REPORT, pair_stats, merge_pairs, top_pairs_of_slides)
+
+
 def with_window_bounds(df: DataFrame, window: int) -> DataFrame:
     """Window start in seconds -> start and end as timestamps, first in the row."""
     rest = [c for c in df.columns if c != "window_start"]

@@ -31,9 +31,9 @@ def fit_vocabulary(docs: DataFrame, tokens: str, vocab_size: int = VOCAB_SIZE,
 
 
 def bag_of_words(docs: DataFrame, doc_id: str, tokens: str, vocabulary: DataFrame) -> DataFrame:
-    """(doc_id, term_index, term, n): the non-zero entries of the count vectors. The
-    vocabulary is broadcast; its size is the parameter it was fitted with."""
-    return doc_terms(docs, [doc_id], tokens).join(F.broadcast(vocabulary), "term").select(
+    """(doc_id, term_index, term, n): the non-zero entries of the count vectors. Spark
+    decides by the vocabulary's size how to join it."""
+    return doc_terms(docs, [doc_id], tokens).join(vocabulary, "term").select(
         doc_id, "term_index", "term", "n")
 
 
@@ -45,6 +45,15 @@ def vectorizer(vocabulary: DataFrame, tokens: str, out: str = "raw_features"):
     return CountVectorizerModel.from_vocabulary(words, tokens, out)
 
 
+def idf_weights(docs: DataFrame, doc_id: str, tokens: str, vocabulary: DataFrame) -> DataFrame:
+    """(term_index, term, df, idf) of the vocabulary, with idf = ln((m + 1) / (df + 1)) over m
+    documents: the weights that the LDA's features carry."""
+    df = bag_of_words(docs, doc_id, tokens, vocabulary).groupBy("term_index", "term").agg(
+        F.count("*").alias("df"))
+    m = docs.where(F.col(tokens).isNotNull()).agg(F.count("*")).scalar()
+    return df.withColumn("idf", F.ln((m + 1) / (F.col("df") + 1)))
+
+
 def lda_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int = MAX_ITER,
                vocab_size: int = VOCAB_SIZE, min_df: int = MIN_DF,
                n_terms: int = TERMS_PER_TOPIC, seed: int = SEED) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from trendloom.functions.stem import stem_word
 from trendloom.functions.text import finish_tokens_c, raw_tokens_c
-from trendloom.operators.joins import skew_join
+from trendloom.operators.columns import compute_once
+from trendloom.operators.joins import replacements
 
 
 def stem_vocabulary(counts: DataFrame) -> DataFrame:
@@ -30,25 +31,16 @@ def lemma_counts(counts: DataFrame, lemmas: DataFrame) -> DataFrame:
 def lemmatize_tokens(docs: DataFrame, doc_id: str, tokens: str, lemmas: DataFrame) -> DataFrame:
     """Replace the tokens of every document by their lemmas, keeping order.
 
-    ``lemmas`` may be of any size: it is shuffled unless it is known to be small. Frequent
-    words are spread over tasks; a regrouped row is one document.
+    ``lemmas`` may be of any size: it is shuffled unless it is known to be small. Only words
+    that have a lemma leave their document.
     """
-    words = docs.select(doc_id, F.posexplode(tokens).alias("pos", "form"))
-    replaced = skew_join(words, lemmas, "form", [doc_id, "pos"], "left").groupBy(doc_id).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(
-                "pos", F.coalesce("lemma", "form").alias("word")))),
-            lambda token: token["word"],
-        ).alias("_words")
-    )
-    # A document without tokens has no group; it keeps its empty or NULL array.
-    out = docs.join(replaced, doc_id, "left")
-    return out.withColumn(tokens, F.coalesce("_words", tokens)).drop("_words")
+    return replacements(docs, doc_id, tokens, lemmas, "form", "lemma")
 
 
 def clean_with_lemmas(docs: DataFrame, doc_id: str, text: str, lemmas: DataFrame, out: str,
                       raw_tokens: Callable[[Column], Column] = raw_tokens_c) -> DataFrame:
     """News cleaner C (or D with ``raw_tokens_d``) with lemmas between its two halves."""
-    words = docs.select(doc_id, raw_tokens(F.col(text)).alias(out))
+    words = compute_once(docs.select(doc_id, F.col(text).alias("_text")),
+                         **{out: raw_tokens(F.col("_text"))}).drop("_text")
     cleaned = lemmatize_tokens(words, doc_id, out, lemmas)
     return cleaned.withColumn(out, finish_tokens_c(F.col(out)))

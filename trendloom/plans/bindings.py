@@ -18,14 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table of fewer files than cores; a larger one is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if not df.isStreaming and df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def n_rows(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
@@ -37,7 +29,7 @@ def every(column: str, n: int, text: str) -> Column:
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     day = F.lpad((1 + F.floor(F.col("doc_id") / 7) % 30).cast("string"), 2, "0")
-    return spread(docs, "doc_id").withColumn("page_id", F.col("doc_id") % n_rows(pages)).join(
+    return docs.withColumn("page_id", F.col("doc_id") % n_rows(pages)).join(
         pages.select("page_id", "url"), "page_id", "left"
     ).select(
         "doc_id",
@@ -56,22 +48,31 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MAX_FILES_CONF = "trendloom.stream.maxFilesPerTrigger"
+
+
 def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """The events, as a stream of their files if wanted. The session's MAX_FILES_CONF limits
+    the files of one micro-batch."""
     batch = table(spark, sf_dir, "events")
     if not stream:
         return batch
-    return spark.readStream.schema(batch.schema).option(
-        "pathGlobFilter", "events.parquet").parquet(sf_dir)
+    reader = spark.readStream.schema(batch.schema)
+    if files := spark.conf.get(MAX_FILES_CONF, None):
+        reader = reader.option("maxFilesPerTrigger", files)
+    # A pattern stands for the single file as well as for the folder of part files, which a
+    # stream would not take and would take by different options.
+    return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 
 def tweets(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     rows = (
-        spread(events(spark, sf_dir, stream), "event_id")
+        events(spark, sf_dir, stream)
         .withColumn("doc_id", F.col("event_id") % n_rows(docs))
         .withColumn("page_id", F.col("event_id") % n_rows(pages))
-        .join(spread(docs.select("doc_id", "text", "lang", "source"), "doc_id"), "doc_id")
-        .join(pages.select("page_id", "url"), "page_id")
+        .join(docs.select("doc_id", "text", "lang", "source"), "doc_id", "left")
+        .join(pages.select("page_id", "url"), "page_id", "left")
     )
     text = F.concat(
         every("event_id", 5, "RT @user7: "), "text", every("event_id", 3, " #bigdata"),

@@ -165,8 +165,8 @@ tweets AS MATERIALIZED (
       || {every('e.event_id', 14, ' deep learning')}
       || {every('e.event_id', 15, ' artificial intelligence')} AS text
   FROM events e
-  JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
-  JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
+  LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
+  LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
 )"""
 
 STORED = f"""
@@ -189,6 +189,19 @@ in_range AS (
     (SELECT min(created_at_dt) FROM tweets) AND (SELECT max(created_at_dt) FROM tweets)
 )"""
 
+# The links alone, without the texts.
+LINK_ROWS = """
+link_rows AS (
+  SELECT id, CASE WHEN id % 13 = 0 THEN CAST([] AS VARCHAR[])
+      WHEN id % 17 = 0 THEN [CAST(NULL AS VARCHAR)]
+      WHEN id % 19 = 0 THEN ['https://twitter.com/user7/status/' || id]
+      WHEN id % 7 = 0 THEN [url, 'https://en.wikipedia.org/wiki/' || source]
+      ELSE [url] END AS links
+  FROM (SELECT e.event_id AS id, p.url, d.source FROM events e
+    LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
+    LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages))
+)"""
+
 # The defects of bindings.messages, and the links behind them.
 PROCESSED = f"""
 linked AS (

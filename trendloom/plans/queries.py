@@ -6,17 +6,21 @@ the same result. Every query reads whole tables and whole texts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendloom import dictionaries as d
 from trendloom.functions import dates, keywords, text, urls
 from trendloom.operators import joins, latest, rates, terms, topics, tweets, vocabulary
+from trendloom.operators.columns import compute_once
 from trendloom.plans import bindings as b
 from trendloom.plans import oracle as o
-from trendloom.schemas import FLAT_TWEET_COLUMNS, TWEETS
+from trendloom.schemas import (
+    FLAT_TWEET_COLUMNS, HASHTAG_COUNTS, OUTCOME_COUNTS, TWEETS, VALUE_COUNTS,
+)
 from trendloom.session import work_dir
 from trendloom.sources import readers, sinks
 from trendloom.streaming import jobs, metrics
@@ -110,24 +114,54 @@ def source_count_by_day(spark, sf_dir):
     return rates.count_by(cleaned_news(spark, sf_dir), "PublishedDate", "source_name")
 
 
-@query(f"""
-SELECT source_name, count(*) AS count,
-  round(count(*) / (SELECT count(*) FROM news), {DIGITS}) AS relative_rank
-FROM news GROUP BY source_name ORDER BY count DESC, source_name LIMIT 15""", o.NEWS)
+SHARE_SQL = """
+SELECT {key}, count(*) AS count,
+  round(count(*) / (SELECT count(*) FROM {table}), 9) AS relative_rank
+FROM {table} GROUP BY {key}"""
+FIRST_15 = " ORDER BY count DESC, {key} LIMIT 15"
+
+
+@query(SHARE_SQL.format(key="source_name", table="news"), o.NEWS)
 def source_share(spark, sf_dir):
+    return rates.share_by(b.news(spark, sf_dir), "source_name").select(
+        "source_name", "count", share("relative_rank"))
+
+
+@query((SHARE_SQL + FIRST_15).format(key="source_name", table="news"), o.NEWS)
+def source_share_top(spark, sf_dir):
     return rates.top_shares(b.news(spark, sf_dir), "source_name").select(
         "source_name", "count", share("relative_rank"))
 
 
-@query(f"""
-SELECT domain, count(*) AS count,
-  round(count(*) / (SELECT count(*) FROM stored), {DIGITS}) AS relative_rank
-FROM stored GROUP BY domain ORDER BY count DESC, domain LIMIT 15""", o.TWEETS, o.STORED)
+@query(SHARE_SQL.format(key="domain", table="stored"), o.TWEETS, o.STORED)
 def domain_share(spark, sf_dir):
+    return rates.share_by(b.stored_tweets(spark, sf_dir), "domain").select(
+        "domain", "count", share("relative_rank"))
+
+
+@query((SHARE_SQL + FIRST_15).format(key="domain", table="stored"), o.TWEETS, o.STORED)
+def domain_share_top(spark, sf_dir):
     return rates.top_shares(b.stored_tweets(spark, sf_dir), "domain").select(
         "domain", "count", share("relative_rank"))
 
 
+RANKED_SQL = """
+SELECT {day}, {key}, count(*) AS count, CAST(row_number() OVER (
+  PARTITION BY {day} ORDER BY count(*) DESC, {key}) AS INTEGER) AS position
+FROM {table} GROUP BY {day}, {key}"""
+
+
+@query(RANKED_SQL.format(day='"PublishedDate"', key="source_name", table="cleaned_news"),
+       o.NEWS, o.CLEANED_NEWS)
+def source_ranks_by_day(spark, sf_dir):
+    return rates.ranked_per_day(cleaned_news(spark, sf_dir), "PublishedDate", "source_name")
+
+
+@query(RANKED_SQL.format(day="created_at_dt", key="domain", table="stored"), o.TWEETS, o.STORED)
+def domain_ranks_by_day(spark, sf_dir):
+    return rates.ranked_per_day(b.stored_tweets(spark, sf_dir), "created_at_dt", "domain")
+
+
 RATE_SQL = """
 SELECT '{feed}' AS feed, {day} AS day, {words} AS keywords, count(*) AS count_matched,
   any_value(total) AS total, round(count(*) / any_value(total), 9) AS relative_count
@@ -237,12 +271,19 @@ WINDOW w AS (ORDER BY {keys}, screen_name) ORDER BY rank LIMIT 20)"""
        + " UNION ALL "
        + INFLUENCER_SQL.format(order="followers", keys="user_followers_count DESC, count(*) DESC"),
        o.TWEETS)
-def influencers(spark, sf_dir):
+def influencers_top(spark, sf_dir):
     feed = b.tweets(spark, sf_dir)
     return rates.top_influencers(feed, "posts").unionByName(
         rates.top_influencers(feed, "followers"))
 
 
+@query("""
+SELECT screen_name, user_followers_count, count(*) AS count_posting
+FROM tweets GROUP BY screen_name, user_followers_count""", o.TWEETS)
+def influencers(spark, sf_dir):
+    return rates.sorted_influencers(b.tweets(spark, sf_dir))
+
+
 TOP3_SQL = """
 SELECT {day}, {key}, count(*) AS count,
   CAST(row_number() OVER (PARTITION BY {day} ORDER BY count(*) DESC, {key}) AS INTEGER)
@@ -336,9 +377,9 @@ redirects AS (
 
 @query("""
 SELECT id, string_agg(coalesce(location, link), ' ' ORDER BY pos) AS urls
-FROM (SELECT id, unnest(links) AS link, generate_subscripts(links, 1) AS pos FROM linked) l
+FROM (SELECT id, unnest(links) AS link, unnest(range(len(links))) AS pos FROM link_rows) l
 LEFT JOIN redirects r ON r.url = l.link GROUP BY id
-UNION ALL SELECT id, '' FROM linked WHERE len(links) = 0""", o.TWEETS, o.PROCESSED, REDIRECTS)
+UNION ALL SELECT id, '' FROM link_rows WHERE len(links) = 0""", o.LINK_ROWS, REDIRECTS)
 def resolve_redirects(spark, sf_dir):
     feed = b.tweets(spark, sf_dir).select("id", b.links().alias("urls"))
     resolved = joins.resolve_redirects(feed, b.redirects(spark, sf_dir))
@@ -501,10 +542,11 @@ def clean_tokens_a(spark, sf_dir):
 
 
 B_WORDS = f"""
-b_words AS (
-  SELECT id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos
+b_words AS MATERIALIZED (
+  SELECT id, unnest(tokens) AS term, unnest(range(len(tokens))) AS pos
   FROM (SELECT id, {o.raw_tokens_b('text')} AS tokens FROM tweets)
-)"""
+),
+b_vocabulary AS MATERIALIZED (SELECT DISTINCT term FROM b_words)"""
 ACRONYM_SQL = "CASE stem " + " ".join(
     f"WHEN {o.lit(a)} THEN {o.lit(w)}" for a, w in d.ACRONYMS.items()) + " ELSE stem END"
 
@@ -514,7 +556,7 @@ SELECT id, coalesce(tokens, '') AS tokens FROM tweets LEFT JOIN (
   SELECT id, string_agg(word, ' ' ORDER BY pos) AS tokens
   FROM (SELECT id, pos, {ACRONYM_SQL} AS word FROM b_words JOIN stems USING (term))
   WHERE length(word) > 3 AND word NOT IN {o.in_list(d.NOISE_WORDS)} GROUP BY id) USING (id)""",
-       o.TWEETS, B_WORDS, o.stem_ctes("b_words"))
+       o.TWEETS, B_WORDS, o.stem_ctes("b_vocabulary"))
 def clean_tokens_b(spark, sf_dir):
     return b.tweets(spark, sf_dir).select(
         "id", joined(text.clean_tokens_b(F.col("text"))).alias("tokens"))
@@ -610,6 +652,54 @@ def clean_with_lemmas(spark, sf_dir):
     return cleaned.select("doc_id", joined("words_desc").alias("words_desc"))
 
 
+def _lemma_sql(words: str) -> str:
+    """(doc, words_desc): the rows of ``words`` with lemmas, after the second half of C and D."""
+    return f"""
+  SELECT doc, string_agg(word, ' ' ORDER BY pos) AS words_desc FROM (
+    SELECT doc, pos, regexp_replace(w, '[^a-zA-Z]', '', 'g') AS word FROM (
+      SELECT doc, pos, coalesce(lemma, d.form) AS w
+      FROM {words} d LEFT JOIN lemmas ON lemmas.form = d.form)
+    WHERE w NOT IN {o.in_list(d.STOP_WORDS_NEWS)})
+  WHERE length(word) > 3 OR word IN {o.in_list(d.SHORT_TERMS)} GROUP BY doc"""
+
+
+def _d_words(name: str, table: str, doc: str, column: str) -> str:
+    line, byte, escape, space = (o.lit(x) for x in ("\\n", "b'", "\\u", text.UNICODE_SPACE))
+    return f"""
+{name} AS MATERIALIZED (
+  SELECT doc, unnest(tokens) AS form, unnest(range(len(tokens))) AS pos
+  FROM (SELECT {doc} AS doc, list_filter(list_transform(string_split_regex(lower(replace(replace(
+      {column}, {line}, ' '), {byte}, {o.lit("")})), {space}),
+      lambda x: rtrim(x, ',')), lambda x: x <> {o.lit("")} AND NOT contains(x, {escape})
+      AND NOT contains(x, 'http') AND x <> 'rt') AS tokens FROM {table})
+)"""
+
+
+@query(f"""
+SELECT doc_id, coalesce(words_desc, '') AS words_desc
+FROM news LEFT JOIN ({_lemma_sql('d_words')}) ON doc = doc_id""",
+       o.NEWS, A_TERMS, LEMMAS, _d_words("d_words", "news", "doc_id", MERGED))
+def clean_with_lemmas_d(spark, sf_dir):
+    merged = b.news(spark, sf_dir).select(
+        "doc_id", joins.all_content("title", "content", "description").alias("merged"))
+    cleaned = vocabulary.clean_with_lemmas(
+        merged, "doc_id", "merged", b.lemmas(_a_counts(spark, sf_dir)), "words_desc",
+        text.raw_tokens_d)
+    return cleaned.select("doc_id", joined("words_desc").alias("words_desc"))
+
+
+@query(f"""
+SELECT term, count(*) AS n FROM (
+  SELECT unnest(string_split(words_desc, ' ')) AS term FROM ({_lemma_sql('s_words')}))
+GROUP BY term""", o.NEWS, o.TWEETS, SHARED, A_TERMS, LEMMAS,
+       _d_words("s_words", "shared", "url", "all_content"))
+def shared_term_counts_with_lemmas(spark, sf_dir):
+    cleaned = vocabulary.clean_with_lemmas(
+        _shared(spark, sf_dir), "url", "all_content", b.lemmas(_a_counts(spark, sf_dir)), "tokens",
+        text.raw_tokens_d)
+    return terms.term_counts(cleaned, "tokens")
+
+
 # --- TF-IDF --------------------------------------------------------------------------
 
 SCORES = f"""
@@ -650,63 +740,124 @@ def tfidf_top_terms(spark, sf_dir):
     return terms.top_terms(_news_tokens_a(spark, sf_dir), "tokens")
 
 
-def _windowed_sql(window: int, slide: int) -> str:
+def _windowed_sql(window: int) -> str:
     return f"""
 SELECT {o.bounds(window)}, topic, CAST(rank AS INTEGER) AS rank, term, score FROM (
   SELECT window_start, topic, term, score, row_number() OVER (
     PARTITION BY window_start, topic ORDER BY score DESC, term) AS rank
   FROM (
-    SELECT window_start, topic, term,
-      round(max(log10(n_docs / df) * (n / doc_len)), {DIGITS}) AS score
-    FROM frequent JOIN in_window USING (window_start, topic, term)
-    JOIN window_docs USING (window_start, topic) GROUP BY window_start, topic, term))
+    SELECT window_start, topic, term, round(log10(n_docs / df) * max_tf, {DIGITS}) AS score
+    FROM frequent JOIN window_docs USING (window_start, topic)))
+WHERE rank <= 5"""
+
+
+def _pairs_sql(window: int) -> str:
+    return f"""
+SELECT {o.bounds(window)}, topic, CAST(rank AS INTEGER) AS rank, term, id, score FROM (
+  SELECT window_start, topic, term, id, score, row_number() OVER (
+    PARTITION BY window_start, topic ORDER BY score DESC, term, id) AS rank
+  FROM (
+    SELECT window_start, topic, term, CAST(id AS VARCHAR) AS id,
+      round(log10(n_docs / df) * (n / doc_len), {DIGITS}) AS score
+    FROM (SELECT *, count(*) OVER (PARTITION BY window_start, topic, term) AS df FROM (
+      SELECT id, topic, term, n, doc_len, {_starts(window, TREND_S)} AS window_start
+      FROM doc_terms))
+    JOIN window_docs USING (window_start, topic)))
 WHERE rank <= 5"""
 
 
-def _windowed_views(window: int, slide: int) -> str:
+def _starts(window: int, slide: int) -> str:
+    return f"unnest(range(slide - {window - slide}, slide + {slide}, {slide}))"
+
+
+def _windowed_views(tokens: str, window: int, slide: int) -> str:
+    """``tokens`` is a query of (id, tokens)."""
     return f"""
-hit_docs AS (
-  SELECT id, ts, unnest({o.hits('text')}) AS topic, {o.tokens_a('text')} AS tokens FROM tweets
+hit_docs AS MATERIALIZED (
+  SELECT id, unnest({o.hits('text')}) AS topic, {o.seconds('ts')} // {slide} * {slide} AS slide,
+    tokens FROM tweets JOIN ({tokens}) USING (id)
 ),
 window_docs AS (
   SELECT window_start, topic, count(*) AS n_docs FROM (
-    SELECT topic, unnest({o.starts('ts', window, slide)}) AS window_start FROM hit_docs)
+    SELECT topic, {_starts(window, slide)} AS window_start FROM hit_docs)
   GROUP BY ALL
 ),
-doc_terms AS (
-  SELECT id, topic, ts, len(tokens) AS doc_len, term, count(*) AS n
-  FROM (SELECT id, topic, ts, tokens, unnest(tokens) AS term FROM hit_docs) GROUP BY ALL
+doc_terms AS MATERIALIZED (
+  SELECT id, topic, slide, len(tokens) AS doc_len, term, count(*) AS n
+  FROM (SELECT id, topic, slide, tokens, unnest(tokens) AS term FROM hit_docs) GROUP BY ALL
 ),
-in_window AS (
-  SELECT topic, term, n, doc_len, unnest({o.starts('ts', window, slide)}) AS window_start
-  FROM doc_terms
+slide_terms AS (
+  SELECT topic, slide, term, sum(n) AS n, count(*) AS df, max(n / doc_len) AS max_tf
+  FROM doc_terms GROUP BY ALL
 ),
 frequent AS (
-  SELECT window_start, topic, term, count(*) AS df FROM in_window GROUP BY 1, 2, 3
+  SELECT window_start, topic, term, sum(df) AS df, max(max_tf) AS max_tf FROM (
+    SELECT *, {_starts(window, slide)} AS window_start FROM slide_terms)
+  GROUP BY window_start, topic, term
   QUALIFY row_number() OVER (PARTITION BY window_start, topic ORDER BY sum(n) DESC, term) <= 25
 )"""
 
 
-def _hit_docs(feed: DataFrame) -> DataFrame:
-    return feed.select(
-        "ts", keywords.hit_topics(F.col("text")).alias("hits"),
-        text.clean_tokens_a(F.col("text")).alias("tokens"),
-    ).select(F.explode("hits").alias("topic"), "ts", "tokens")
+A_TOKENS = f"SELECT id, {o.tokens_a('text')} AS tokens FROM tweets"
+B_TOKENS = f"""
+SELECT id, coalesce(tokens, []) AS tokens FROM tweets LEFT JOIN (
+  SELECT id, list(word) AS tokens FROM (
+    SELECT id, {ACRONYM_SQL} AS word FROM b_words JOIN stems USING (term))
+  WHERE length(word) > 3 AND word NOT IN {o.in_list(d.NOISE_WORDS)} GROUP BY id) USING (id)"""
+TREND_VIEWS = (o.TWEETS, _windowed_views(A_TOKENS, TREND_W, TREND_S))
+CHART_W, CHART_S = d.CHART_WINDOW
+CHART_VIEWS = (o.TWEETS, B_WORDS, o.stem_ctes("b_vocabulary"),
+               _windowed_views(B_TOKENS, CHART_W, CHART_S))
+
+
+def _hit_docs(feed: DataFrame, clean=text.clean_tokens_a) -> DataFrame:
+    """(topic, ts, tokens, id) per hashtag that a message hits; cleaned once per message."""
+    rows = compute_once(feed.select("id", "ts", "text", keywords.hit_topics(F.col("text"))
+                                    .alias("hits")).where(F.size("hits") > 0),
+                        tokens=clean(F.col("text")))
+    return rows.select(F.explode("hits").alias("topic"), "ts", "tokens", "id")
+
+
+def _trend_stream(spark, sf_dir, clean, window, slide, ranking) -> DataFrame:
+    path = work_dir(spark, "trends")
+    trend_table = jobs.TrendTable(spark, f"{path}/table", window, slide, ranking)
+    stream = _hit_docs(b.tweets(spark, sf_dir, stream=True), clean)
+    jobs.run(jobs.trends(stream, trend_table, f"{path}/checkpoint"))
+    return trend_table.latest()
 
 
-@query(_windowed_sql(TREND_W, TREND_S), o.TWEETS, _windowed_views(TREND_W, TREND_S))
+@query(_windowed_sql(TREND_W), *TREND_VIEWS)
 def windowed_tfidf(spark, sf_dir):
     return terms.windowed_top_terms(
         _hit_docs(b.tweets(spark, sf_dir)), "topic", "ts", "tokens", TREND_W, TREND_S)
 
 
-@query(_windowed_sql(TREND_W, TREND_S), o.TWEETS, _windowed_views(TREND_W, TREND_S))
+@query(_windowed_sql(TREND_W), *TREND_VIEWS)
 def stream_trends(spark, sf_dir):
-    path = work_dir(spark, "trends")
-    trend_table = jobs.TrendTable(spark, f"{path}/table", TREND_W, TREND_S)
-    stream = _hit_docs(b.tweets(spark, sf_dir, stream=True))
-    jobs.run(jobs.trends(stream, trend_table, f"{path}/checkpoint"))
-    return trend_table.latest()
+    return _trend_stream(spark, sf_dir, text.clean_tokens_a, TREND_W, TREND_S, terms.TOP_TERMS)
+
+
+@query(_pairs_sql(TREND_W), *TREND_VIEWS)
+def windowed_top_pairs(spark, sf_dir):
+    return terms.windowed_top_pairs(
+        _hit_docs(b.tweets(spark, sf_dir)), "topic", "ts", "tokens", TREND_W, TREND_S)
+
+
+@query(_pairs_sql(TREND_W), *TREND_VIEWS)
+def stream_top_pairs(spark, sf_dir):
+    return _trend_stream(spark, sf_dir, text.clean_tokens_a, TREND_W, TREND_S, terms.TOP_PAIRS)
+
+
+@query(_windowed_sql(CHART_W), *CHART_VIEWS)
+def chart_trends(spark, sf_dir):
+    return terms.windowed_top_terms(
+        _hit_docs(b.tweets(spark, sf_dir), text.clean_tokens_b), "topic", "ts", "tokens",
+        CHART_W, CHART_S)
+
+
+@query(_windowed_sql(CHART_W), *CHART_VIEWS)
+def stream_chart_trends(spark, sf_dir):
+    return _trend_stream(spark, sf_dir, text.clean_tokens_b, CHART_W, CHART_S, terms.TOP_TERMS)
 
 
 # --- topics --------------------------------------------------------------------------
@@ -737,6 +888,33 @@ def count_vectorize(spark, sf_dir):
                                topics.fit_vocabulary(docs, "words_desc"))
 
 
+@query(f"""
+SELECT CAST(term_index AS INTEGER) AS term_index, term, count(*) AS df,
+  round(ln(((SELECT count(*) FROM news WHERE description IS NOT NULL) + 1) / (count(*) + 1)),
+    {DIGITS}) AS idf
+FROM c_terms JOIN vocabulary USING (term) GROUP BY term_index, term""", o.NEWS, C_DOCS)
+def idf_weights(spark, sf_dir):
+    docs = _news_tokens_c(spark, sf_dir)
+    weights = topics.idf_weights(docs, "doc_id", "words_desc",
+                                 topics.fit_vocabulary(docs, "words_desc"))
+    return weights.withColumn("idf", share("idf"))
+
+
+@query("""
+SELECT CAST(topic AS INTEGER) AS topic, CAST(rank AS INTEGER) AS rank, true AS known,
+  true AS falling
+FROM range(10) t(topic) CROSS JOIN range(1, 6) r(rank)""")
+def lda_topic_ranks(spark, sf_dir):
+    """What holds of any fit: ten topics of five ranked terms, weights falling, terms known."""
+    docs = _news_tokens_c(spark, sf_dir)
+    fit = topics.lda_topics(docs, "words_desc", max_iter=5)
+    words = topics.fit_vocabulary(docs, "words_desc").select("term", F.lit(True).alias("in_it"))
+    by_rank = Window.partitionBy("topic").orderBy("rank")
+    falling = F.coalesce(F.lag("weight").over(by_rank) >= F.col("weight"), F.lit(True))
+    return fit.join(words, "term", "left").select(
+        "topic", "rank", F.coalesce("in_it", F.lit(False)).alias("known"), falling.alias("falling"))
+
+
 @query()
 def lda_topics(spark, sf_dir):
     return topics.lda_topics(_news_tokens_c(spark, sf_dir), "words_desc")
@@ -767,16 +945,18 @@ GROUP BY window_start, metric"""
 def stream_metrics(spark, sf_dir):
     path = work_dir(spark, "metrics")
     processed = tweets.process_tweets(b.messages(spark, sf_dir, stream=True))
-    counts = metrics.outcome_counts(processed, "timestamp", ETL_S, watermark=ETL_W)
-    job, store = jobs.table_of(counts, ["slide"], f"{path}/table", f"{path}/checkpoint")
-    jobs.run(job)
+    store = latest.CountStore(spark, f"{path}/table", OUTCOME_COUNTS, metrics.METRICS)
+    jobs.run(jobs.count_table(
+        processed, lambda batch: metrics.outcome_counts(batch, "timestamp", ETL_S), store,
+        f"{path}/checkpoint"))
     return _both_scopes(metrics.metric_rows(store.read()), ["metric"])
 
 
-def _both_scopes(counts: DataFrame, by: list[str]) -> DataFrame:
+def _both_scopes(counts: DataFrame, by: list[str], span: int = ETL_W,
+                 slide: int = ETL_S) -> DataFrame:
     """Per-slide counts as batch counts and as sliding-window counts."""
-    batch = terms.with_window_bounds(metrics.tumbling(counts), ETL_S)
-    window = terms.with_window_bounds(metrics.sliding(counts, ETL_W, ETL_S, by), ETL_W)
+    batch = terms.with_window_bounds(metrics.tumbling(counts), slide)
+    window = terms.with_window_bounds(metrics.sliding(counts, span, slide, by), span)
     columns = ["scope", "window_start", "window_end", *by, "n"]
     return batch.withColumn("scope", F.lit("batch")).select(*columns).unionByName(
         window.withColumn("scope", F.lit("window")).select(*columns))
@@ -817,10 +997,10 @@ def stream_keyword_counts(spark, sf_dir):
     path = work_dir(spark, "values")
     processed = tweets.process_tweets(b.messages(spark, sf_dir, stream=True))
     seen = metrics.matched_values(processed, "timestamp")
-    counts = metrics.slide_counts(seen, "timestamp", ETL_S, ["kind", "value"], watermark=ETL_W)
-    job, store = jobs.table_of(counts, ["slide", "kind", "value"], f"{path}/table",
-                               f"{path}/checkpoint")
-    jobs.run(job)
+    store = latest.CountStore(spark, f"{path}/table", VALUE_COUNTS, ["n"])
+    jobs.run(jobs.count_table(
+        seen, lambda batch: metrics.slide_counts(batch, "timestamp", ETL_S, ["kind", "value"]),
+        store, f"{path}/checkpoint"))
     return _both_scopes(store.read(), ["kind", "value"])
 
 
@@ -829,7 +1009,7 @@ def _etl(spark, sf_dir) -> tuple[latest.UpsertStore, str]:
     processed = tweets.process_tweets(b.messages(spark, sf_dir, stream=True))
     schema = tweets.flatten_tweets(processed, "timestamp").schema
     store = latest.UpsertStore(spark, f"{path}/store", schema, ["id"], ["timestamp"])
-    jobs.run(jobs.etl(processed, store, f"{path}/topics", f"{path}/checkpoint"))
+    jobs.run(jobs.etl(processed, store, jobs.write_to(f"{path}/topics"), f"{path}/checkpoint"))
     return store, f"{path}/topics"
 
 
@@ -846,22 +1026,109 @@ TOPIC_SQL = " ".join(f"WHEN {o.lit(r)} THEN {o.lit(d.ROUTE_TOPICS[r])}"
 
 
 @query(f"""
-SELECT CASE route {TOPIC_SQL} END AS topic, CAST(id AS VARCHAR) AS key FROM routed
-UNION ALL SELECT {o.lit(d.ROUTE_TOPICS['cleaned'])}, CAST(id AS VARCHAR) FROM routed
-WHERE route = 'matched'""", o.TWEETS, o.PROCESSED)
+SELECT CASE route {TOPIC_SQL} END AS topic, CAST(id AS VARCHAR) AS key, code,
+  CASE code {REASONS} END AS reason,
+  CASE WHEN route = 'matched' OR (code <> -102 AND id % 23 <> 0) THEN text END AS text,
+  CASE WHEN route = 'matched' THEN array_to_string(words, ',') END AS matched_words,
+  CASE WHEN route = 'matched' THEN array_to_string(links, ',') END AS links,
+  CAST(NULL AS VARCHAR) AS mention FROM routed
+UNION ALL SELECT {o.lit(d.ROUTE_TOPICS['cleaned'])}, id, tweet_match_count, NULL, text,
+  tweet_matched_words, url, mention FROM flat""", o.TWEETS, o.PROCESSED, o.FLAT)
 def stream_routes(spark, sf_dir):
+    """The messages as sent, with the fields of their JSON values."""
     _, path = _etl(spark, sf_dir)
+    sent = spark.read.schema("key string, value string, topic string").json(path)
+    at = lambda field: F.get_json_object("value", f"$.{field}")
+    matched, cleaned = (F.col("topic") == d.ROUTE_TOPICS[r] for r in ("matched", "cleaned"))
+    words = F.from_json(at("enriched.matched_words"), "array<string>")
+    full = F.from_json(at("enriched.url_details.full_url"), "array<string>")
+    return sent.select(
+        "topic", "key",
+        F.when(matched, at("enriched.match_count")).when(cleaned, at("tweet_match_count"))
+        .otherwise(at("code")).cast("int").alias("code"),
+        F.when(~matched & ~cleaned, at("reason")).alias("reason"),
+        F.when(matched | cleaned, at("text")).otherwise(
+            F.get_json_object(at("tweet"), "$.text")).alias("text"),
+        F.when(matched, F.array_join(words, ",")).when(cleaned, at("tweet_matched_words"))
+        .alias("matched_words"),
+        F.when(matched, F.array_join(full, ",")).when(cleaned, at("url")).alias("links"),
+        F.when(cleaned, at("mention")).alias("mention"))
+
+
+HASHTAG_MESSAGES = f"""
+SELECT CASE WHEN hit IS NULL THEN {o.lit(d.HASHTAG_NOT_MATCHED_TOPIC)}
+  ELSE {o.lit(d.HASHTAG_MATCHED_TOPIC)} END AS topic, CAST(id AS VARCHAR) AS key,
+  CAST(CASE WHEN hit IS NULL THEN to_json({{'screen_name': screen_name,
+    'processed_text': processed_text}})
+  ELSE to_json({{'searched': hit, 'screen_name': screen_name, 'processed_text': processed_text}})
+  END AS VARCHAR) AS value
+FROM (SELECT id, screen_name, array_to_string({o.tokens_a('text')}, ' ') AS processed_text,
+  unnest(CASE WHEN len({o.hits('text')}) = 0 THEN [CAST(NULL AS VARCHAR)]
+    ELSE {o.hits('text')} END) AS hit FROM @rows@)"""
+NO_ERROR = "(SELECT * FROM tweets WHERE id % 29 <> 0 AND id % 23 <> 0)"
+
+
+@query(HASHTAG_MESSAGES.replace("@rows@", "tweets"), o.TWEETS)
+def hashtag_messages(spark, sf_dir):
+    feed = b.tweets(spark, sf_dir).select(
+        "id", "screen_name", keywords.hit_topics(F.col("text")).alias("hits"),
+        joined(text.clean_tokens_a(F.col("text"))).alias("processed_text"))
+    return sinks.hashtag_messages(feed, "hits", "id", "screen_name", "processed_text")
+
+
+def _hashtag_job(spark, sf_dir) -> tuple[latest.CountStore, str]:
+    """Run the hashtag stream over the messages; one without readable text is an error."""
+    path, body = work_dir(spark, "hashtags"), F.col("tweet.text")
+    parsed = tweets.parse_tweets(b.messages(spark, sf_dir, stream=True))
+    rows = parsed.select(
+        "key", "timestamp", F.col("tweet.user.screen_name").alias("screen_name"),
+        F.coalesce(keywords.hit_topics(body), F.array().cast("array<string>")).alias("hits"),
+        joined(text.clean_tokens_a(body)).alias("processed_text"),
+        (F.col("tweet._corrupt").isNotNull() | body.isNull()).alias("errored"))
+    store = latest.CountStore(spark, f"{path}/counts", HASHTAG_COUNTS, ["n"])
+    jobs.run(jobs.hashtags(rows, store, jobs.write_to(f"{path}/topics"), f"{path}/checkpoint",
+                           TREND_S, ["screen_name", "processed_text"]))
+    return store, f"{path}/topics"
+
+
+@query(HASHTAG_MESSAGES.replace("@rows@", NO_ERROR), o.TWEETS)
+def stream_hashtags(spark, sf_dir):
+    _, path = _hashtag_job(spark, sf_dir)
     return spark.read.schema("key string, value string, topic string").json(path).select(
-        "topic", "key")
+        "topic", "key", "value")
+
+
+def _hashtag_count_sql(scope: str, window: int) -> str:
+    return f"""
+SELECT '{scope}' AS scope, {o.bounds(window)}, metric, hashtag, count(*) AS n
+FROM (SELECT metric, hashtag, unnest({o.starts('ts', window, TREND_S)}) AS window_start
+  FROM hashtag_rows) GROUP BY window_start, metric, hashtag"""
+
+
+@query(_hashtag_count_sql("batch", TREND_S) + " UNION ALL "
+       + _hashtag_count_sql("window", TREND_W), o.TWEETS, f"""
+hashtag_rows AS (
+  SELECT ts, 'inbound' AS metric, CAST(NULL AS VARCHAR) AS hashtag FROM tweets
+  UNION ALL SELECT ts, 'errored', NULL FROM tweets WHERE id % 29 = 0 OR id % 23 = 0
+  UNION ALL SELECT ts, 'not_matched', NULL FROM {NO_ERROR} WHERE len({o.hits('text')}) = 0
+  UNION ALL SELECT ts, 'matched', unnest({o.hits('text')}) FROM {NO_ERROR}
+)""")
+def stream_hashtag_counts(spark, sf_dir):
+    store, _ = _hashtag_job(spark, sf_dir)
+    return _both_scopes(store.read(), ["metric", "hashtag"], TREND_W, TREND_S)
 
 
 @query(f"""
-SELECT CASE WHEN hit IS NULL THEN {o.lit(d.HASHTAG_NOT_MATCHED_TOPIC)}
-  ELSE {o.lit(d.HASHTAG_MATCHED_TOPIC)} END AS topic, CAST(id AS VARCHAR) AS key,
-  CAST(CASE WHEN hit IS NULL THEN to_json({{'screen_name': screen_name}})
-  ELSE to_json({{'searched': hit, 'screen_name': screen_name}}) END AS VARCHAR) AS value
-FROM (SELECT id, screen_name, unnest(CASE WHEN len({o.hits('text')}) = 0
-  THEN [CAST(NULL AS VARCHAR)] ELSE {o.hits('text')} END) AS hit FROM tweets)""", o.TWEETS)
-def hashtag_messages(spark, sf_dir):
-    feed = b.tweets(spark, sf_dir).withColumn("hits", keywords.hit_topics(F.col("text")))
-    return sinks.hashtag_messages(feed, "hits", "id", "screen_name")
+SELECT doc_id, "PublishedDate", source_name, matched_keywords,
+  array_to_string({o.tokens_c('description')}, ' ') AS words_desc
+FROM cleaned_news WHERE "PublishedDate" BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'""",
+       o.NEWS, o.CLEANED_NEWS)
+def cleaned_tables(spark, sf_dir):
+    """Clean the news, save them as a table by day, and scan some days of it."""
+    name = "cleaned_news_" + uuid.uuid4().hex
+    cleaned = cleaned_news(spark, sf_dir).select(
+        "doc_id", "source_name", "matched_keywords", "PublishedDate",
+        text.clean_tokens_c(F.col("description")).alias("words_desc"))
+    sinks.save_table(cleaned, name, "PublishedDate")
+    days = F.col("PublishedDate").between("2024-01-10", "2024-01-19")
+    return readers.scan_table(spark, name).where(days).withColumn("words_desc", joined("words_desc"))

@@ -43,7 +43,14 @@ FLAT_TWEET_COLUMNS = [
 ]
 
 # Tables the streaming jobs keep, one folder per batch.
-SLIDE_TERMS = struct(topic=S, slide=L, term=S, n=L, df=L, max_tf=D, batch_id=L)
-SLIDE_DOCS = struct(topic=S, slide=L, n_docs=L, batch_id=L)
+SLIDE_TERMS = struct(topic=S, slide=L, term=S, n=L, df=L, max_tf=D, day=I)
+SLIDE_PAIRS = struct(topic=S, slide=L, term=S, df=L,
+                     best=T.ArrayType(struct(less_tf=D, id=S)), day=I)
+SLIDE_DOCS = struct(topic=S, slide=L, n_docs=L)
 TREND_REPORT = struct(window_start=NTZ, window_end=NTZ, topic=S, rank=I, term=S, score=D,
-                      emitted_at=TS, batch_id=L)
+                      emitted_at=TS)
+PAIR_REPORT = struct(window_start=NTZ, window_end=NTZ, topic=S, rank=I, term=S, id=S, score=D,
+                     emitted_at=TS)
+OUTCOME_COUNTS = struct(slide=L, inbound=L, matched=L, cleaned=L, not_matched=L, errored=L)
+VALUE_COUNTS = struct(slide=L, kind=S, value=S, n=L)
+HASHTAG_COUNTS = struct(slide=L, metric=S, hashtag=S, n=L)
