@@ -232,6 +232,19 @@ routed AS (
   FROM processed
 )"""
 
+# The same with links resolved before anything is done with them.
+RESOLVED = PROCESSED.replace("linked AS (", "unresolved AS (", 1).replace("processed AS (", """
+resolved AS (
+  SELECT id, list(coalesce(location, link) ORDER BY pos) AS targets
+  FROM (SELECT id, unnest(links) AS link, unnest(range(len(links))) AS pos FROM unresolved)
+  LEFT JOIN redirects ON redirects.url = link GROUP BY id
+),
+linked AS (
+  SELECT u.* REPLACE (coalesce(targets, links) AS links) FROM unresolved u
+  LEFT JOIN resolved USING (id)
+),
+processed AS (""", 1)
+
 FLAT = f"""
 flat AS (
   SELECT CAST(id AS VARCHAR) AS id, CASE WHEN id % 5 = 0 THEN 1 ELSE 0 END AS retweet_status,

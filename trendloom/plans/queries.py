@@ -444,18 +444,20 @@ REASONS = " ".join(
     (d.BAD_JSON, d.NO_ENTITIES, d.NO_URLS, d.NO_EXPANDED_URL, d.ALL_ALLOWED, d.NO_TEXT))
 
 
-@query(f"""
+OUTCOME_SQL = f"""
 SELECT CAST(id AS VARCHAR) AS key, code, CASE code {REASONS} END AS reason, route,
   CASE WHEN code >= 0 THEN array_to_string(words, ',') END AS matched_words,
   CASE WHEN code >= 0 THEN array_to_string(list_transform(links, lambda x: {o.netloc('x')}), ',')
     END AS domain,
   CASE WHEN code >= 0 THEN array_to_string(primary_domains, ',') END AS primary_domain,
   CASE WHEN code >= 0 THEN array_to_string(links, ',') END AS full_url
-FROM routed""", o.TWEETS, o.PROCESSED)
-def route_outcome(spark, sf_dir):
+FROM routed"""
+
+
+def _outcomes(processed: DataFrame) -> DataFrame:
     passed = lambda column: F.when(F.col("code") >= 0, column)
     details = F.col("enriched.url_details")
-    return tweets.process_tweets(b.messages(spark, sf_dir)).select(
+    return processed.select(
         "key", "code", "reason", "route",
         passed(keywords.keyword_string(F.col("enriched.matched_words"))).alias("matched_words"),
         passed(F.array_join(details["domain"], ",")).alias("domain"),
@@ -463,6 +465,17 @@ def route_outcome(spark, sf_dir):
         passed(F.array_join(details["full_url"], ",")).alias("full_url"))
 
 
+@query(OUTCOME_SQL, o.TWEETS, o.PROCESSED)
+def route_outcome(spark, sf_dir):
+    return _outcomes(tweets.process_tweets(b.messages(spark, sf_dir)))
+
+
+@query(OUTCOME_SQL, o.TWEETS, REDIRECTS, o.RESOLVED)
+def route_outcome_resolved(spark, sf_dir):
+    return _outcomes(tweets.process_tweets(
+        b.messages(spark, sf_dir), redirects=b.redirects(spark, sf_dir)))
+
+
 @query(f"""
 SELECT id, array_to_string(primary_domains, ',') AS primary_domains,
   len(list_filter(primary_domains, lambda x: x NOT IN {o.in_list(d.ALLOWED_DOMAINS)})) = 0
@@ -986,7 +999,8 @@ values_seen AS (
 
 def _value_sql(scope: str, window: int, slide: int) -> str:
     return f"""
-SELECT '{scope}' AS scope, {o.bounds(window)}, kind, value, count(*) AS n
+SELECT '{scope}' AS scope, {o.bounds(window)}, kind, value, count(*) AS n, CAST(row_number() OVER (
+  PARTITION BY window_start, kind ORDER BY count(*) DESC, value) AS INTEGER) AS position
 FROM (SELECT kind, value, unnest({o.starts('ts', window, slide)}) AS window_start FROM values_seen)
 GROUP BY window_start, kind, value"""
 
@@ -1001,7 +1015,9 @@ def stream_keyword_counts(spark, sf_dir):
     jobs.run(jobs.count_table(
         seen, lambda batch: metrics.slide_counts(batch, "timestamp", ETL_S, ["kind", "value"]),
         store, f"{path}/checkpoint"))
-    return _both_scopes(store.read(), ["kind", "value"])
+    place = Window.partitionBy("scope", "window_start", "kind").orderBy(F.desc("n"), "value")
+    return _both_scopes(store.read(), ["kind", "value"]).withColumn(
+        "position", F.row_number().over(place))
 
 
 def _etl(spark, sf_dir) -> tuple[latest.UpsertStore, str]:
