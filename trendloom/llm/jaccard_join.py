@@ -8,13 +8,15 @@ texts.
 The answer wanted is the connected classes, so links inside a class already known need no
 proof. A first round verifies a star in every prefix shingle and size band and joins the
 classes it finds. The second round verifies every pair of members that share a prefix
-shingle, pass the size and position filters and are still in different classes. Dense groups
+shingle, pass the filters by size, position and parity signature (all without false
+rejections) and are still in different classes. Dense groups
 of copies thus cost one verification a member, and no link between classes is lost.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,9 @@ from trendloom.llm.storage import rows_with_keys, stored
 
 SIZE = 5  # words of a shingle
 PERCENT = 80  # least Jaccard similarity
-ORDER_BITS = 18  # frequencies are counted for 2^ORDER_BITS classes of shingles
-CHUNK_BITS = 12  # counts that travel in one row
+ORDER_BITS = 22  # frequencies are counted for 2^ORDER_BITS classes of shingles
+CHUNK_BITS = 16  # counts that travel in one row
+SIGNATURE = 16  # 64-bit words of a set's parity signature
 
 
 def _order(docs: DataFrame, size: int) -> np.ndarray:
@@ -41,14 +44,14 @@ def _order(docs: DataFrame, size: int) -> np.ndarray:
     classes, chunk = 1 << ORDER_BITS, 1 << CHUNK_BITS
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(classes, np.int64)
+        total = np.zeros(classes, np.int32)
         for batch in batches:
             for _, _, part, inner in slabs(*text_bytes(batch.column(0))):
                 hashes, _ = shingle_hashes(*word_hashes(part, inner), size)
-                total += np.bincount((hashes >> U(64 - ORDER_BITS)).astype(np.int64),
-                                     minlength=classes)
+                at, n = np.unique(hashes >> U(64 - ORDER_BITS), return_counts=True)
+                total[at.astype(np.int64)] += n.astype(np.int32)
         parts = [(i, total[i * chunk:(i + 1) * chunk]) for i in range(classes // chunk)]
-        parts = [(i, part.tobytes()) for i, part in parts if part.any()]
+        parts = [(i, zlib.compress(part.tobytes(), 1)) for i, part in parts if part.any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([i for i, _ in parts], pa.int32()),
              pa.array([part for _, part in parts], pa.binary())], names=["chunk", "counts"])
@@ -57,8 +60,8 @@ def _order(docs: DataFrame, size: int) -> np.ndarray:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(part.as_buffer(), np.int64)
-                totals[i] = totals[i] + part if i in totals else part.copy()
+                part = np.frombuffer(zlib.decompress(part.as_buffer()), np.int32)
+                totals[i] = totals.get(i, 0) + part.astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(totals), pa.int32()),
              pa.array([part.tobytes() for part in totals.values()], pa.binary())],
@@ -70,7 +73,7 @@ def _order(docs: DataFrame, size: int) -> np.ndarray:
             summed, schema).toLocalIterator():
         at = row["chunk"] * chunk
         totals[at:at + chunk] = np.frombuffer(row["counts"], np.int64)
-    ranks = np.empty(classes, np.int64)
+    ranks = np.empty(classes, np.uint32)
     ranks[np.argsort(totals, kind="stable")] = np.arange(classes)
     return ranks
 
@@ -92,15 +95,31 @@ def _fingerprint(tokens: np.ndarray) -> bytes:
     return a.to_bytes(8, "big") + b.to_bytes(8, "big")
 
 
+def _signature(tokens: np.ndarray) -> np.ndarray:
+    """For each of 64 * SIGNATURE classes of shingles, whether the set has an odd number.
+    Two signatures differ in no more bits than the sets have shingles apart."""
+    bits = 64 * SIGNATURE
+    odd = np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _alike(n: str, left: str, m: str, right: str, percent: int) -> Column:
+    """The signatures allow the similarity: the sets are at most
+    (n + m) * (100 - percent) / (100 + percent) shingles apart."""
+    apart = sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i]))
+                 for i in range(SIGNATURE)), F.lit(0))
+    return apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent)
+
+
 def _sets(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(doc_id, row_key, n, node, gid, prefix) per row of (doc_id, row_key, text). The
-    prefix is NULL where the task has already sent this group's."""
+    """(doc_id, row_key, n, node, gid, signature, prefix) per row of (doc_id, row_key, text).
+    The prefix is NULL where the task has already sent this group's."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            counts, nodes, groups, prefixes = [], [], [], []
+            counts, nodes, groups, signatures, prefixes = [], [], [], [], []
             for _, hashes in batch_shingles(batch.column(2), size):
                 tokens = ordered_set(hashes, shared.value)
                 n = len(tokens)
@@ -110,16 +129,18 @@ def _sets(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFr
                 counts.append(n)
                 nodes.append(_fingerprint(tokens) if n else None)
                 groups.append(group)
+                signatures.append(_signature(tokens))
                 prefixes.append(None if not n or group in seen else prefix.view(np.int64))
                 seen.add(group)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
                  pa.array(nodes, pa.binary()), pa.array(groups, pa.int64()),
+                 pa.array(signatures, pa.list_(pa.int64())),
                  pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "row_key", "n", "node", "gid", "prefix"])
+                names=["doc_id", "row_key", "n", "node", "gid", "signature", "prefix"])
 
     return docs.mapInArrow(made, "doc_id long, row_key long, n long, node binary, gid long, "
-                                 "prefix array<long>")
+                                 "signature array<long>, prefix array<long>")
 
 
 def _fits(n: str, m: str, percent: int) -> Column:
@@ -201,39 +222,46 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
                        F.col(text).cast("string").alias("text"))
     ranks = _order(docs.select("text"), size)
     sets = stored(_sets(docs, ranks, size, percent), "jaccard-sets")
-    members = sets.where(F.col("n") > 0).select("node", "gid", F.col("n").cast("int").alias("n")) \
-        .distinct()
+    members = stored(sets.where(F.col("n") > 0).groupBy("node").agg(
+        F.first("gid").alias("gid"), F.first("n").cast("int").alias("n"),
+        F.first("signature").alias("signature")), "jaccard-members")
     index = stored(_index(sets, percent), "jaccard-index")
-    leads = members.groupBy("gid").agg(F.min("node").alias("lead"))
+    leads = members.groupBy("gid").agg(F.min_by(F.struct("node", "n", "signature"), "node")
+                                       .alias("lead")).select(
+        F.col("gid").alias("rep"), F.col("lead.node").alias("a"), F.col("lead.n").alias("an"),
+        F.col("lead.signature").alias("as"))
+    bs = members.select("gid", F.col("node").alias("b"), F.col("n").alias("bn"),
+                        F.col("signature").alias("bs"))
 
     near = index.where((F.col("rep") != F.col("gid")) & _fits("rep_n", "n", percent)
                        & _reaches("rep_n", "rep_pos", "n", "pos", percent))
-    stars = near.select("rep", "gid").distinct().join(
-        leads.select(F.col("gid").alias("rep"), F.col("lead").alias("a")), "rep").join(
-        members.select("gid", F.col("node").alias("b")), "gid").select("a", "b")
-    inside = members.join(leads, "gid").where(F.col("node") != F.col("lead")).select(
-        F.col("lead").alias("a"), F.col("node").alias("b"))
-    pairs = stored(stars.unionByName(inside).distinct(), "jaccard-pairs")
+    stars = near.select("rep", "gid").distinct().join(leads, "rep").join(bs, "gid")
+    inside = bs.join(leads, bs["gid"] == leads["rep"]).where(F.col("a") != F.col("b"))
+    pairs = stored(stars.where(_alike("an", "as", "bn", "bs", percent)).select("a", "b").unionByName(
+        inside.where(_alike("an", "as", "bn", "bs", percent)).select("a", "b")).distinct(),
+        "jaccard-pairs")
     links = stored(_verified(pairs, _texts(docs, sets, pairs), size, percent), "jaccard-links")
     classes = components(links)
 
     # Second round: what shares a prefix shingle but is still in different classes.
-    rows = index.select("token", "gid", "pos").join(members, "gid").join(
+    signatures = members.select("node", "signature")
+    rows = index.select("token", "gid", "pos").join(members.drop("signature"), "gid").join(
         classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = stored(rows.select("token", "node", "n", "pos", "component"), "jaccard-members")
+    rows = stored(rows.select("token", "node", "n", "pos", "component"), "jaccard-tokens")
     per_class = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
     mixed = per_class.groupBy("token").agg(
         F.max_by("component", F.struct("size", "component")).alias("main"),
         F.count("*").alias("classes")).where("classes > 1").select("token", "main")
-    rows = rows.join(mixed, "token")
+    rows = rows.join(mixed, "token").join(signatures, "node")
     # One end of such a pair is outside the token's largest class.
     outside = rows.where(F.col("component") != F.col("main")).select(
         "token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"),
-        F.col("component").alias("ac"))
+        F.col("component").alias("ac"), F.col("signature").alias("as"))
     rest = outside.join(rows, "token").where(
         (F.col("ac") != F.col("component"))
         & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("node")))
-        & _fits("an", "n", percent) & _reaches("an", "ap", "n", "pos", percent))
+        & _fits("an", "n", percent) & _reaches("an", "ap", "n", "pos", percent)
+        & _alike("an", "as", "n", "signature", percent))
     rest = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
