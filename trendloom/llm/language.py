@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm.hashing import slabs, text_bytes
+from trendloom.llm.storage import stored
 
 HIDDEN = 8  # units per direction
 SEGMENT = 64  # bytes that one run of the network sees
@@ -177,18 +178,22 @@ def text_chances(data: np.ndarray, offsets: np.ndarray, weights: Weights) -> np.
 
 def sample(docs: DataFrame, key: str, text: str, lang: str, folds: int, held_out: int,
            size: int, chars: int) -> DataFrame:
-    """(lang, piece): of each language at most ``size`` texts outside the held-out fold, chosen
-    by a hash of the key, and of each text ``chars`` characters from a seeded place."""
+    """(lang, piece, n): of each language at most ``size`` rows outside the held-out fold, those
+    with the least hashes of their keys, and of each text ``chars`` characters from a seeded
+    place. Keys and languages alone decide; the texts of the others do not move."""
     body = F.col(text).cast("string")
     room = F.greatest(F.length(body) - chars, F.lit(0)) + 1
     piece = F.substr(body, F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), room).cast("int") + 1,
                      F.lit(chars))
-    known = docs.where(body.isNotNull() & F.col(lang).isNotNull()
-                       & (fold(key, folds) != held_out))
-    known = known.select(F.xxhash64(F.col(key)).alias("order"), F.col(lang).cast("string")
-                         .alias("lang"), piece.alias("piece"))
+    known = docs.where(F.col(lang).isNotNull() & (fold(key, folds) != held_out)).select(
+        F.xxhash64(F.col(key)).alias("order"), F.col(lang).cast("string").alias("lang"),
+        body.alias("body"), piece.alias("piece"))
+    first = Window.partitionBy("lang").orderBy("order")
+    bounds = stored(known.select("lang", "order").withColumn("n", F.row_number().over(first)).where(
+        F.col("n") <= size).groupBy("lang").agg(F.max("order").alias("most")), "language-sample")
+    chosen = known.join(bounds, "lang").where("order <= most AND body IS NOT NULL")
     order = Window.partitionBy("lang").orderBy("order", "piece")
-    return known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= size).select(
+    return chosen.withColumn("n", F.row_number().over(order)).where(F.col("n") <= size).select(
         "lang", "piece", "n")
 
 
