@@ -49,27 +49,35 @@ def op5_sharding(spark, sf_dir):
 
 
 @query("""
-WITH RECURSIVE words AS (
+WITH RECURSIVE listed AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'), lambda x: x <> '') AS w
-  FROM documents),
-sets AS (
-  SELECT doc_id, list_distinct(CASE
-    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
-  FROM words),
-shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+'),
+    lambda x: x <> '') AS w FROM documents),
+words AS (SELECT doc_id, len(w) AS l, unnest(w) AS w, unnest(range(len(w))) AS p FROM listed),
+runs AS (
+  SELECT doc_id, l, p, w || coalesce(' ' || lead(w, 1) OVER t, '') || coalesce(' ' || lead(w, 2) OVER t, '')
+    || coalesce(' ' || lead(w, 3) OVER t, '') || coalesce(' ' || lead(w, 4) OVER t, '') AS shingle
+  FROM words WINDOW t AS (PARTITION BY doc_id ORDER BY p)),
+distinct_runs AS (
+  SELECT DISTINCT doc_id, shingle FROM runs WHERE p = 0 OR p <= l - 5),
+shingles AS MATERIALIZED (
+  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM distinct_runs),
+numbers AS (
+  SELECT shingle, row_number() OVER () AS id FROM shingles GROUP BY shingle HAVING count(*) > 1),
+shared AS MATERIALIZED (SELECT doc_id, n, id FROM shingles JOIN numbers USING (shingle)),
 pairs AS (
   SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common
-  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  FROM shared a JOIN shared b ON a.id = b.id AND a.doc_id < b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
   GROUP BY a.doc_id, b.doc_id),
-links AS (SELECT a, b FROM pairs WHERE 100 * common >= 80 * (n + m - common)),
+half AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * common >= 80 * (n + m - common)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach AS (
   SELECT doc_id, doc_id AS other FROM documents
   UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
 named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
-SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
-FROM sets JOIN named USING (doc_id)""")
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM named LEFT JOIN (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id) USING (doc_id)""")
 def op6_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
