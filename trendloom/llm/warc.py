@@ -94,17 +94,25 @@ def _number(head: Column, name: str) -> Column:
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, split, order, value): the archives cut at every magic. ``order`` counts the
-    pieces of a split from 0, whichever task reads it."""
-    rows = spark.read.option("lineSep", MAGIC).text(path).select(
+    """(file, split, id, value): the archives cut at every magic. The pieces of a split have
+    rising ids, one apart, that depend on which task reads the split."""
+    return spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("order"), "value")
-    firsts = rows.groupBy(F.col("file").alias("_file"), F.col("split").alias("_split")).agg(
-        F.min("order").alias("_least"))
-    return rows.join(firsts, (F.col("file") == F.col("_file"))
-                     & (F.col("split") == F.col("_split"))).select(
-        "file", "split", (F.col("order") - F.col("_least")).alias("order"), "value")
+        F.monotonically_increasing_id().alias("id"), "value")
+
+
+def first_ids(cut: DataFrame) -> DataFrame:
+    """(_file, _split, _least): one row per split."""
+    return cut.groupBy(F.col("file").alias("_file"), F.col("split").alias("_split")).agg(
+        F.min("id").alias("_least"))
+
+
+def numbered(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Replace ``id`` by ``order``, which counts a split's pieces from 0, whoever reads it."""
+    same = (F.col("file") == F.col("_file")) & (F.col("split") == F.col("_split"))
+    return rows.join(firsts, same).withColumn("order", F.col("id") - F.col("_least")).drop(
+        "_file", "_split", "_least", "id")
 
 
 def candidates(cut: DataFrame) -> DataFrame:
@@ -119,7 +127,7 @@ def candidates(cut: DataFrame) -> DataFrame:
     whole = F.coalesce(F.col("size") - len(MAGIC) >= F.col("head_size") + F.col("length"),
                        F.lit(False))
     return rows.select(
-        "file", "split", "order", "size", "head_size", "length", whole.alias("whole"),
+        "file", "split", "id", "size", "head_size", "length", whole.alias("whole"),
         _field(F.col("head"), "type").alias("record_type"),
         _number(F.col("head"), "page").alias("page_id"),
         _number(F.col("head"), "refers").alias("refers_to"),
@@ -202,7 +210,11 @@ def _put_together(cut: DataFrame, at: DataFrame, broken: DataFrame) -> DataFrame
     parts = at.select("file", "split", "order", F.col("offset").alias("part"),
                       F.floor(F.col("offset") / STRETCH).alias("stretch")).join(
         spans, ["file", "stretch"]).where("part >= offset AND part < next").drop("stretch")
-    text = parts.join(cut, ["file", "split", "order"]).groupBy(
+    # Only the files with such records are read again, and only their pieces move.
+    files = stored(broken.select("file").distinct(), "warc-broken")
+    again = cut.join(files, "file", "left_semi")
+    again = numbered(again, stored(first_ids(again.drop("value")), "warc-firsts"))
+    text = parts.join(again, ["file", "split", "order"]).groupBy(
         "file", "offset", "head_size", "length").agg(
         F.array_sort(F.collect_list(F.struct("part", "value"))).alias("parts"))
     joined = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)
@@ -218,16 +230,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     out. No files give no rows; a record without page number has NULL there.
     """
     cut = pieces(spark, path)
-    at = stored(placed(stored(candidates(cut), "warc-pieces")), "warc-placed")
+    found = stored(candidates(cut), "warc-pieces")
+    at = stored(placed(numbered(found, first_ids(found))), "warc-placed")
     real = stored(reachable(at.where("offset >= 0 AND length IS NOT NULL")), "warc-records")
-    together = _put_together(cut, at.where("offset >= 0"), real.where("NOT whole")).select(
-        F.col("file").alias("_file"), F.col("offset").alias("_offset"), "joined_digest")
     revisit = F.col("record_type") == "revisit"
-    whole = real.where("whole").withColumn("joined_digest", F.lit(None).cast("string"))
-    broken = real.where("NOT whole").join(
-        together, (F.col("file") == F.col("_file")) & (F.col("offset") == F.col("_offset"))).drop(
-        "_file", "_offset")
-    return whole.unionByName(broken).select(
+    records = real.where("whole").withColumn("joined_digest", F.lit(None).cast("string"))
+    broken = real.where("NOT whole")
+    if not broken.isEmpty():
+        together = _put_together(cut, at.where("offset >= 0"), broken).select(
+            F.col("file").alias("_file"), F.col("offset").alias("_offset"), "joined_digest")
+        records = records.unionByName(broken.join(together, (F.col("file") == F.col("_file")) & (
+            F.col("offset") == F.col("_offset"))).drop("_file", "_offset"))
+    return records.select(
         "file", "offset", "record_type", "page_id", "refers_to",
         F.when(revisit, F.col("named_bytes")).otherwise(F.col("length")).alias("payload_bytes"),
         F.when(revisit, F.col("named_digest")).otherwise(
