@@ -3,7 +3,7 @@ regularised leader (FTRL-proximal), scored as sparse dot products."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +74,7 @@ def margins(indices: np.ndarray, bounds: np.ndarray, weights: np.ndarray) -> np.
     return np.diff(sums) / np.sqrt(np.maximum(lengths, 1)) + weights[-1]
 
 
-def train_ftrl(examples: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS,
+def train_ftrl(examples: Iterable[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS,
                alpha: float = ALPHA, beta: float = BETA, l1: float = L1,
                l2: float = L2) -> np.ndarray:
     """Weights (bias last) after ``epochs`` passes of FTRL-proximal over (indices, label).
@@ -83,8 +83,9 @@ def train_ftrl(examples: list[tuple[np.ndarray, int]], bits: int = BITS, epochs:
     prepared = []
     for indices, label in examples:
         at, counts = np.unique(indices, return_counts=True)
-        prepared.append((np.append(at, 1 << bits),
-                         np.append(counts / np.sqrt(max(1, len(indices))), 1.0), label))
+        values = np.append(counts / np.sqrt(max(1, len(indices))), 1.0)
+        prepared.append((np.append(at, 1 << bits).astype(np.int32), values.astype(np.float32),
+                         label))
 
     def weight(at):
         zi = z[at]
@@ -131,16 +132,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 for lo, hi in zip(bounds[:-1], bounds[1:]):
                     step = max(1, -(-(hi - lo) // SAMPLE_FEATURES))
                     step += step % 5 == 0 and step > 1  # kinds alternate in steps of five
-                    rows.append(found[lo:hi:step].astype(np.int32))
+                    rows.append(found[lo:hi:step].astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(rows, pa.list_(pa.int32()))],
+                [batch.column(0), batch.column(2), pa.array(rows, pa.binary())],
                 names=["key", "label", "indices"])
 
     rows = sample(docs, labels, key, text, label, folds, held_out, size).mapInArrow(
-        indices, "key long, label int, indices array<int>")
+        indices, "key long, label int, indices binary")
     rows = rows.orderBy(F.xxhash64("key", F.lit(1)), "key", "label", "indices").limit(size)
-    return train_ftrl([(np.asarray(r["indices"], np.int64), r["label"])
-                       for r in rows.toLocalIterator()], bits)
+    # Bytes, not lists of numbers: the driver holds 4 bytes a feature.
+    return train_ftrl(((np.frombuffer(r["indices"], np.int32), r["label"])
+                       for r in rows.toLocalIterator()), bits)
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", threshold: float = THRESHOLD,
