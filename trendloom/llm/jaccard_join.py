@@ -7,7 +7,8 @@ texts.
 
 The answer wanted is the connected classes, so links inside a class already known need no
 proof. A first round verifies a star in every prefix shingle and size band and joins the
-classes it finds. The second round verifies every pair of members that share a prefix
+classes it finds. A few members of each shingle's largest class are then tried with all
+others there. The last round verifies every pair of members that share a prefix
 shingle, pass the filters by size, position and parity signature (all without false
 rejections) and are still in different classes. Dense groups
 of copies thus cost one verification a member, and no link between classes is lost.
@@ -32,9 +33,10 @@ from trendloom.llm.storage import rows_with_keys, stored
 
 SIZE = 5  # words of a shingle
 PERCENT = 80  # least Jaccard similarity
+BRIDGES = 8  # members of a shingle's largest class that all others there are tried with
 ORDER_BITS = 22  # frequencies are counted for 2^ORDER_BITS classes of shingles
 CHUNK_BITS = 16  # counts that travel in one row
-SIGNATURE = 16  # 64-bit words of a set's parity signature
+SIGNATURE = 8  # 64-bit words of a set's parity signature
 
 
 def _order(docs: DataFrame, size: int) -> np.ndarray:
@@ -68,11 +70,11 @@ def _order(docs: DataFrame, size: int) -> np.ndarray:
             names=["chunk", "counts"])
 
     schema = "chunk int, counts binary"
-    totals = np.zeros(classes, np.int64)
+    totals = np.zeros(classes, np.uint32)  # cut where they do not fit: the order stays total
     for row in docs.mapInArrow(counted, schema).repartition("chunk").mapInArrow(
             summed, schema).toLocalIterator():
         at = row["chunk"] * chunk
-        totals[at:at + chunk] = np.frombuffer(row["counts"], np.int64)
+        totals[at:at + chunk] = np.minimum(np.frombuffer(row["counts"], np.int64), 2 ** 32 - 1)
     ranks = np.empty(classes, np.uint32)
     ranks[np.argsort(totals, kind="stable")] = np.arange(classes)
     return ranks
@@ -157,23 +159,32 @@ def _reaches(n: str, i: str, m: str, j: str, percent: int) -> Column:
 
 
 def _index(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, gid, n, pos, rep, rep_n, rep_pos): the prefix shingles that several groups
-    share. ``rep`` is the first group of the shingle's size band. The index moves once."""
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
+    """(token, gid, n, pos, reps): the prefix shingles that several groups share. ``reps``
+    are the first group of the shingle's size band and the first of the shingle, by size. The
+    index moves once."""
+    # Size and place travel as one number, which sorts by size.
     rows = sets.where(F.col("prefix").isNotNull()).select(
-        "gid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    rows = rows.withColumn("band", band)
-    by_token = Window.partitionBy("token").orderBy("band", "n", "gid")
+        "gid", "n", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "gid", (F.shiftleft("n", 32) + F.col("pos")).alias("at"))
+    by_token = Window.partitionBy("token").orderBy("at", "gid")
     whole = by_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    by_band = Window.partitionBy("token", "band").orderBy("n", "gid")
+    size = F.shiftright("at", 32)
     rows = rows.select(
         "*", F.lag("gid").over(by_token).alias("_before"),
         (F.min("gid").over(whole) != F.max("gid").over(whole)).alias("_several"),
-        F.first(F.struct("gid", "n", "pos")).over(by_band).alias("_rep"))
+        F.first(F.struct("gid", "at")).over(by_token).alias("_first"))
     # A group that another task has sent as well stands next to itself.
-    return rows.where("_several AND NOT (_before <=> gid)").select(
-        "token", "gid", "n", "pos", F.col("_rep.gid").alias("rep"),
-        F.col("_rep.n").alias("rep_n"), F.col("_rep.pos").alias("rep_pos"))
+    rows = rows.where("_several AND NOT (_before <=> gid)").withColumn(
+        "band", F.floor(F.log(size.cast("double")) / math.log(100 / percent)))
+    by_band = Window.partitionBy("token", "band").orderBy("at", "gid")
+    rows = rows.withColumn("_rep", F.first(F.struct("gid", "at")).over(by_band))
+
+    def place(at: str) -> Column:
+        return F.col(at).bitwiseAND((1 << 32) - 1).cast("int")
+
+    return rows.select(
+        "token", "gid", size.cast("int").alias("n"), place("at").alias("pos"),
+        F.array_distinct(F.array("_rep", "_first")).alias("reps"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -207,6 +218,16 @@ def _texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
         F.first("text").alias("text")).select("node", "text"), "jaccard-texts")
 
 
+def _bridges(rows: DataFrame) -> DataFrame:
+    """BRIDGES rows of every token, chosen by hashes: another few for each token."""
+    own = [c for c in rows.columns if c != "token"]
+    chosen = rows.groupBy("token").agg(*[
+        F.min_by(F.struct(*own), F.xxhash64(F.lit(i), "token", "node")).alias(f"_{i}")
+        for i in range(BRIDGES)])
+    return chosen.select("token", F.explode(F.array_distinct(F.array(*[
+        f"_{i}" for i in range(BRIDGES)]))).alias("_row")).select("token", "_row.*")
+
+
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
                     percent: int = PERCENT) -> DataFrame:
     """(doc_id, row_key, n_shingles, component_id, component) per row of ``docs``.
@@ -233,8 +254,12 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     bs = members.select("gid", F.col("node").alias("b"), F.col("n").alias("bn"),
                         F.col("signature").alias("bs"))
 
-    near = index.where((F.col("rep") != F.col("gid")) & _fits("rep_n", "n", percent)
-                       & _reaches("rep_n", "rep_pos", "n", "pos", percent))
+    near = index.select("gid", "n", "pos", F.explode("reps").alias("_rep")).select(
+        "gid", "n", "pos", F.col("_rep.gid").alias("rep"),
+        F.shiftright("_rep.at", 32).cast("int").alias("rep_n"),
+        F.col("_rep.at").bitwiseAND((1 << 32) - 1).cast("int").alias("rep_pos"))
+    near = near.where((F.col("rep") != F.col("gid")) & _fits("rep_n", "n", percent)
+                      & _reaches("rep_n", "rep_pos", "n", "pos", percent))
     stars = near.select("rep", "gid").distinct().join(leads, "rep").join(bs, "gid")
     inside = bs.join(leads, bs["gid"] == leads["rep"]).where(F.col("a") != F.col("b"))
     pairs = stored(stars.where(_alike("an", "as", "bn", "bs", percent)).select("a", "b").unionByName(
@@ -243,31 +268,46 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     links = stored(_verified(pairs, _texts(docs, sets, pairs), size, percent), "jaccard-links")
     classes = components(links)
 
-    # Second round: what shares a prefix shingle but is still in different classes.
-    signatures = members.select("node", "signature")
-    rows = index.select("token", "gid", "pos").join(members.drop("signature"), "gid").join(
-        classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = stored(rows.select("token", "node", "n", "pos", "component"), "jaccard-tokens")
-    per_class = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
-    mixed = per_class.groupBy("token").agg(
-        F.max_by("component", F.struct("size", "component")).alias("main"),
-        F.count("*").alias("classes")).where("classes > 1").select("token", "main")
-    rows = rows.join(mixed, "token").join(signatures, "node")
-    # One end of such a pair is outside the token's largest class.
-    outside = rows.where(F.col("component") != F.col("main")).select(
-        "token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"),
-        F.col("component").alias("ac"), F.col("signature").alias("as"))
-    rest = outside.join(rows, "token").where(
-        (F.col("ac") != F.col("component"))
-        & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("node")))
-        & _fits("an", "n", percent) & _reaches("an", "ap", "n", "pos", percent)
-        & _alike("an", "as", "n", "signature", percent))
-    rest = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
-    more = stored(_verified(rest, _texts(docs, sets, rest), size, percent), "jaccard-more")
-    if not more.isEmpty():
-        classes = components(links.unionByName(more))
+    signatures = members.select("node", "signature")
+    expanded = index.select("token", "gid", "pos").join(members.drop("signature"), "gid").select(
+        "token", "node", "n", "pos")
+    # The members of a group share their whole prefix; for them the group is one shingle more.
+    large = members.groupBy("gid").agg(F.count("*").alias("_size")).where("_size > 2")
+    alike = members.join(large, "gid", "left_semi").select(
+        F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"))
+    tokens = stored(expanded.unionByName(alike), "jaccard-tokens")
+    for bridge in (True, False):
+        # Shingles whose members are still in different classes. One end of a pair between
+        # classes is outside the shingle's largest class. Of two members alone, the first
+        # has been tried with the second.
+        rows = tokens.join(classes, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
+        per_class = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
+        mixed = per_class.groupBy("token").agg(
+            F.max_by("component", F.struct("size", "component")).alias("main"),
+            F.count("*").alias("classes"), F.sum("size").alias("members")).where(
+            "classes > 1 AND members > 2").select("token", "main")
+        rows = rows.join(mixed, "token").join(signatures, "node")
+        rows = stored(rows, "jaccard-mixed")
+        outside = rows.where(F.col("component") != F.col("main")).select(
+            "token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"),
+            F.col("component").alias("ac"), F.col("signature").alias("as"))
+        if bridge:
+            rows = _bridges(rows.where(F.col("component") == F.col("main")))
+        rest = outside.join(rows, "token").where(
+            (F.col("ac") != F.col("component"))
+            & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("node")))
+            & _fits("an", "n", percent) & _reaches("an", "ap", "n", "pos", percent)
+            & _alike("an", "as", "n", "signature", percent))
+        rest = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        rest = stored(rest.distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
+        if rest.isEmpty():
+            continue
+        more = stored(_verified(rest, _texts(docs, sets, rest), size, percent), "jaccard-more")
+        tried, links = tried.unionByName(rest), links.unionByName(more)
+        if not more.isEmpty():
+            classes = components(links)
 
     full = sets.where(F.col("n") > 0).select("doc_id", "row_key", "n", "node").join(
         classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
