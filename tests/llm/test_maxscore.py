@@ -62,3 +62,11 @@ def test_few_rows_and_empty_tables(spark):
     check(spark, [], [(1, [1.0])])
     check(spark, [(1, [1.0])], [])
     check(spark, [], [])
+
+
+def test_repeated_keys_in_a_long_table(spark):
+    """The query's own rows, however many, take no places of others."""
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 0.2) for _ in range(8)]) for i in range(40)]
+    rows += [(20, [3 * x for x in rows[20][1]])] * 9 + [(10, rows[10][1])] * 3
+    check(spark, rows, rows[10:21])

@@ -71,12 +71,14 @@ def top_k(postings: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k:
           low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
     """(score, id) of the k best rows of a shard for one query, ids other than ``own``.
 
-    ``postings`` has a row per term; ``low`` and ``high`` are its least and greatest weights."""
+    ``ids`` are sorted. ``postings`` has a row per term; ``low`` and ``high`` are its least and greatest weights."""
     floor = np.minimum(query * low, query * high)  # least contribution of each term
     gain = np.maximum(query * low, query * high) - floor
     order = np.argsort(gain, kind="stable")  # weakest first
     reach = np.cumsum(gain[order])
     base = floor.sum()
+    others = np.ones(len(ids), bool)
+    others[np.searchsorted(ids, own, "left"):np.searchsorted(ids, own, "right")] = False
     best: list[tuple[int, int]] = []
     threshold = -np.inf
     for start in range(0, postings.shape[1], CHUNK):
@@ -87,7 +89,7 @@ def top_k(postings: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k:
         score = query[essential] @ block[essential] + floor[probes].sum()
         at = np.arange(block.shape[1])
         rest = reach[optional - 1] if optional else 0.0
-        live = score + rest >= threshold
+        live = (score + rest >= threshold) & others[start:start + CHUNK]
         at, score = at[live], score[live]
         for step in range(0, len(probes), 8):
             if not len(at):
@@ -99,9 +101,9 @@ def top_k(postings: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k:
             live = score + rest >= threshold
             at, score = at[live], score[live]
         if len(at) > 4 * k:  # ties of the k-th stay
-            cut = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+            cut = np.partition(score, len(score) - k)[len(score) - k]
             at, score = at[score >= cut], score[score >= cut]
-        found = [(int(s), int(i)) for s, i in zip(score, ids[start + at]) if i != own]
+        found = [(int(s), int(i)) for s, i in zip(score, ids[start + at])]
         best = sorted(best + found, key=lambda x: (-x[0], x[1]))[:k]
         threshold = best[-1][0] if len(best) == k else -np.inf
     return best
