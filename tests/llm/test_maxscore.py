@@ -70,3 +70,34 @@ def test_repeated_keys_in_a_long_table(spark):
     rows = [(i, [rng.gauss(0, 0.2) for _ in range(8)]) for i in range(40)]
     rows += [(20, [3 * x for x in rows[20][1]])] * 9 + [(10, rows[10][1])] * 3
     check(spark, rows, rows[10:21])
+
+
+def plain(rows, asked, k):
+    """Exact (query_id, rank, vec_id, score) over repeated-free finite rows; NULL past 64 bits."""
+    terms = {i: [int(x) * 256 if abs(x) >= 2 ** 53 else math.floor(256 * x) for x in v]
+             for i, v in rows}
+    out = []
+    for q, _ in asked:
+        scored = sorted((-sum(x * y for x, y in zip(terms[q], b)), i)
+                        for i, b in terms.items() if i != q)
+        out += [(q, n + 1, i, -s if -2 ** 63 <= -s < 2 ** 63 else None)
+                for n, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard_rows", [16_384, 30])
+def test_components_are_not_cut(spark, shard_rows):
+    rng = random.Random(shard_rows)
+    sizes = [0.2, 5e3, 1e6, 3e9, 1e17, 1e30, 1e300, 1.7e308]
+    rows = [(i, [rng.uniform(-1, 1) * sizes[i % 23 % 8] for _ in range(12)]) for i in range(120)]
+    asked = rows[:23]
+    got = ms.search(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(asked, SCHEMA),
+                    k=4, shard_rows=shard_rows)
+    assert sorted(map(tuple, got.collect())) == plain(rows, asked, 4)
+
+
+def test_scores_past_the_old_limit(spark):
+    rows = [(1, [1.0, 0.0]), (2, [5000.0, 0.0]), (3, [6000.0, 0.0]), (4, [4096.0, 9e3])]
+    got = ms.search(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows[:1], SCHEMA))
+    assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [
+        (3, 256 * 256 * 6000), (2, 256 * 256 * 5000), (4, 256 * 256 * 4096)]

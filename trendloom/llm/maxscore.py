@@ -22,18 +22,33 @@ from pyspark.sql import functions as F
 from trendloom.llm.storage import stored
 
 SCALE = 256
-LIMIT = 1 << 20  # scaled components are cut to +-LIMIT, so that scores fit 64 bits
+LIMIT = np.inf  # greatest scaled component: there is none
+BANDS = (2.0 ** 13, 2.0 ** 22)  # a shard's rows are searched apart by their greatest component
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 2_048
+WIDE = 280  # bytes of any score: two doubles, both scales and the sum over the terms
 CHUNK = 2_048  # rows scored before a threshold is known, and rows traversed at a time
 
 
 def quantised(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(values * SCALE), -LIMIT, LIMIT).astype(np.int64)
+    """floor(SCALE x) / SCALE, which a double holds exactly; large ones are integers as they are."""
+    large = np.abs(values) >= 2.0 ** 53
+    return np.where(large, values, np.floor(np.where(large, 0.0, values) * SCALE) / SCALE) + 0.0
+
+
+def exact(terms: np.ndarray, bound: float) -> np.ndarray:
+    """SCALE times the terms, in numbers that hold all sums up to ``bound`` exactly."""
+    if bound < 2.0 ** 53:
+        return terms * SCALE
+    if bound < 2.0 ** 62:
+        return (terms * SCALE).astype(np.int64)
+    whole = np.frompyfunc(lambda t: int(t) * SCALE if abs(t) >= 2.0 ** 53 else int(t * SCALE), 1, 1)
+    return whole(terms).astype(object)
 
 
 def _integers(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(vec_id, terms): rows with a key and a vector of finite components only."""
+    """(vec_id, terms): rows with a key and a vector of finite components only. The terms are
+    :func:`quantised`."""
     wide = df.select(F.col(key).cast("long").alias("vec_id"),
                      F.col(vector).cast("array<double>").alias("terms"))
 
@@ -47,12 +62,12 @@ def _integers(df: DataFrame, key: str, vector: str) -> DataFrame:
                     values = values.to_numpy(zero_copy_only=False)
                     fine = bool(np.isfinite(values).all())
                 keep.append(fine)
-                rows.append(quantised(values).astype(np.int32) if fine else None)
+                rows.append(quantised(values) if fine else None)
             out = pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["vec_id", "terms"])
+                [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["vec_id", "terms"])
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    return wide.where(F.col("vec_id").isNotNull()).mapInArrow(scaled, "vec_id long, terms array<int>")
+    return wide.where(F.col("vec_id").isNotNull()).mapInArrow(scaled, "vec_id long, terms array<double>")
 
 
 def _matrix(terms: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -83,12 +98,13 @@ def top_k(postings: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k:
     threshold = -np.inf
     for start in range(0, postings.shape[1], CHUNK):
         block = postings[:, start:start + CHUNK]
-        optional = int(np.searchsorted(reach, threshold - base, side="left")) if best else 0
+        optional = (int(np.searchsorted(reach, threshold - base, side="left"))
+                    if len(best) == k else 0)
         essential, probes = order[optional:], order[:optional][::-1]
         # What is in ``score`` after a term: its contributions, with the floor of the rest.
         score = query[essential] @ block[essential] + floor[probes].sum()
         at = np.arange(block.shape[1])
-        rest = reach[optional - 1] if optional else 0.0
+        rest = reach[optional - 1] if optional else 0
         live = (score + rest >= threshold) & others[start:start + CHUNK]
         at, score = at[live], score[live]
         for step in range(0, len(probes), 8):
@@ -97,7 +113,7 @@ def top_k(postings: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k:
             part = probes[step:step + 8]
             score = score + query[part] @ block[np.ix_(part, at)] - floor[part].sum()
             left = len(probes) - step - len(part)
-            rest = reach[left - 1] if left else 0.0
+            rest = reach[left - 1] if left else 0
             live = score + rest >= threshold
             at, score = at[live], score[live]
         if len(at) > 4 * k:  # ties of the k-th stay
@@ -115,7 +131,8 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     """(query_id, rank, vec_id, score): each query's k highest inner products with all rows
     but those of its own key; all rows, if there are fewer. Ties go to the smaller key.
 
-    Components x count as floor(256 x), cut to +-2^20. Vectors that are NULL or hold a NULL or
+    Components x count as floor(256 x), x as double, and all scores are exact. A score that
+    64 bits cannot hold is given as NULL, at its right rank. Vectors that are NULL or hold a NULL or
     non-finite component take no part, nor do rows without a key. A shorter vector has no
     weight in the further terms. Repeated rows are results of their own; repeated query rows
     count once, of different vectors under one key the largest. Other columns are not read.
@@ -138,25 +155,45 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
         ids = left.column("vec_id").to_numpy()
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
-        postings = np.ascontiguousarray(_matrix(left.column("terms"), width)[order].T)
+        rows = _matrix(left.column("terms"), width)[order]
         asking = _matrix(right.column("terms"), width)
-        if len(ids) and len(asking):
-            low, high = postings.min(axis=1), postings.max(axis=1)
-            most = np.abs(asking).max(axis=0) * np.maximum(np.abs(low), np.abs(high))
-            if most.sum() >= 2.0 ** 53:  # beyond exact floating point
-                postings, asking = postings.astype(np.int64), asking.astype(np.int64)
-                low, high = low.astype(np.int64), high.astype(np.int64)
+        band = np.searchsorted(BANDS, np.abs(rows).max(axis=1, initial=0), side="right")
         out: list[tuple[int, int, int]] = []
-        if len(ids):
-            for query_id, query in zip(right.column("query_id").to_pylist(), asking):
+        for one in np.unique(band):
+            near = band == one
+            # Few distinct bounds and so few forms: every query takes the least that is exact.
+            terms = np.ascontiguousarray(rows[near].T)
+            forms: dict[type, tuple[np.ndarray, ...]] = {}
+            with np.errstate(over="ignore"):
+                most = np.abs(terms).max(axis=1)
+                # Bounds and scores add up at most four times this.
+                bounds = 4.0 * SCALE * SCALE * (np.abs(asking) @ most)
+            for query_id, query, bound in zip(right.column("query_id").to_pylist(), asking,
+                                              np.nan_to_num(bounds, nan=np.inf).tolist()):
+                query = exact(query, bound)
+                if query.dtype.type not in forms:
+                    postings = exact(terms, bound)
+                    forms[query.dtype.type] = (postings, postings.min(axis=1),
+                                               postings.max(axis=1))
+                postings, low, high = forms[query.dtype.type]
                 out += [(query_id, i, s)
-                        for s, i in top_k(postings, ids, query, query_id, k, low, high)]
+                        for s, i in top_k(postings, ids[near], query, query_id, k, low, high)]
         columns = list(zip(*out)) or [[], [], []]
-        return pa.table({name: pa.array(list(values), pa.int64())
-                         for name, values in zip(("query_id", "vec_id", "score"), columns)})
+        scores = list(columns[2])
+        fits = [-1 << 63 <= s < 1 << 63 for s in scores]
+        # Beyond 64 bits a score is ordered by its sign, then as an unsigned number of WIDE bytes.
+        return pa.table({
+            "query_id": pa.array(list(columns[0]), pa.int64()),
+            "vec_id": pa.array(list(columns[1]), pa.int64()),
+            "score": pa.array([s if fit else None for s, fit in zip(scores, fits)], pa.int64()),
+            "beyond": pa.array([0 if fit else 1 if s > 0 else -1 for s, fit in zip(scores, fits)],
+                               pa.int32()),
+            "wide": pa.array([None if fit else (s + (1 << 8 * WIDE - 1)).to_bytes(WIDE, "big")
+                              for s, fit in zip(scores, fits)], pa.binary())})
 
     found = dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
-        searched, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        searched, "query_id long, vec_id long, score long, beyond int, wide binary")
+    order = Window.partitionBy("query_id").orderBy(
+        F.col("beyond").desc(), F.col("score").desc(), F.col("wide").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(
         F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
