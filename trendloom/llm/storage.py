@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,21 +24,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 FILTER_BITS = 23  # 1 MB, whatever the number of keys
 
 
-def rows_with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Most of the rows of ``df`` whose first column is not among the keys taken out before a
-    join moves them; the join stays exact without this. A bitmap of fixed size tells."""
+def key_bits(keys: DataFrame, key: str) -> Broadcast:
+    """A bitmap of fixed size of the keys, for :func:`has_bits`."""
     bit = F.pmod(F.col(key), F.lit(1 << FILTER_BITS))
     parts = keys.groupBy(F.shiftright(bit, 15).alias("part")).agg(
         F.bitmap_construct_agg(bit.bitwiseAND(32767)).alias("bits"))
     bitmap = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for row in parts.toLocalIterator():
         bitmap[row["part"] << 12:(row["part"] + 1) << 12] = np.frombuffer(row["bits"], np.uint8)
-    shared = df.sparkSession.sparkContext.broadcast(bitmap)
+    return keys.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def has_bits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be in the bitmap; all that are in it may."""
+    bits = keys & ((1 << FILTER_BITS) - 1)
+    return (bitmap[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def rows_with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Most of the rows of ``df`` whose first column is not among the keys taken out before a
+    join moves them; the join stays exact without this. A bitmap of fixed size tells."""
+    shared = key_bits(keys, key)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = batch.column(0).to_numpy(zero_copy_only=False) & ((1 << FILTER_BITS) - 1)
-            found = shared.value[bits >> 3] >> (bits & 7).astype(np.uint8) & 1
-            yield batch.filter(pa.array(found.astype(bool)))
+            found = has_bits(shared.value, batch.column(0).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(found))
 
     return df.mapInArrow(kept, df.schema)
