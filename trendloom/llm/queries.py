@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
 from trendloom.llm import (
-    decontaminate, jaccard_join, language, maxscore, mixing, passages, quality, sharding,
-    template_sql, url_filter, warc,
+    byte_pairs, decontaminate, divergence, jaccard_join, language, maxscore, mixing, passages,
+    quality, resampling, sharding, template_sql, url_filter, warc,
 )
 from trendloom.session import work_dir
 
@@ -174,3 +176,114 @@ def op9_language(spark, sf_dir):
 @query()
 def op2_passages(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+WITH RECURSIVE steps(b, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END
+  FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+texts AS (
+  SELECT row_number() OVER () AS row_id, true AS own, doc_id, text FROM documents
+  UNION ALL SELECT row_number() OVER (), false, NULL, text FROM benchmark),
+listed AS (
+  SELECT row_id, own, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS (
+  SELECT own, row_id, unnest(w || list_transform(list_zip(w[:-2], w[2:]),
+    lambda p: p[1] || ' ' || p[2])) AS feature
+  FROM listed),
+counted AS MATERIALIZED (
+  SELECT own, row_id, feature, count(*) AS n FROM features GROUP BY ALL),
+coded AS (
+  SELECT feature, list_transform(range(strlen(feature)),
+    lambda i: CAST('0x' || substr(hex(feature), 2 * i + 1, 2) AS BIGINT)) AS code
+  FROM (SELECT DISTINCT feature FROM counted)),
+hashed AS MATERIALIZED (
+  SELECT feature, xor(4294967295, list_reduce(list_prepend(4294967295, code),
+    lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1]))) % 10000 AS bucket
+  FROM coded, crc),
+buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (own), 0) AS s, coalesce(sum(n) FILTER (NOT own), 0) AS t
+  FROM counted JOIN hashed USING (feature) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM buckets) + 10000)::DOUBLE)
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM buckets) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM buckets),
+weights AS (
+  SELECT row_id, CAST(sum(n) AS BIGINT) AS n_features,
+    CAST(floor(sum(n * gain)::DOUBLE / sum(n)) AS BIGINT) AS weight
+  FROM counted JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE own GROUP BY row_id),
+scored AS (
+  SELECT row_id, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+    coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM listed LEFT JOIN weights USING (row_id) WHERE own),
+ranked AS (
+  SELECT row_id, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * (SELECT count(*) FROM ranked) // 100
+  THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (row_id)""")
+def op11_resampling(spark, sf_dir):
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+counts AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT row_id) AS docs
+  FROM (SELECT row_id, lang, source, unnest(w) AS term FROM docs) GROUP BY ALL),
+kept AS MATERIALIZED (
+  SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term HAVING sum(docs) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM groups g JOIN kept k ON k.lang = g.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+totals AS (
+  SELECT *, sum(n) OVER g + 5 * count(*) OVER g AS d, sum(lang_n) OVER g + 5 * count(*) OVER g AS lang_d
+  FROM grid WINDOW g AS (PARTITION BY lang, source)),
+shares AS MATERIALIZED (
+  SELECT lang, source, term, n,
+    CAST(1 + 1000000000::HUGEINT * (n + 5) // d AS BIGINT) AS p,
+    CAST(1 + 1000000000::HUGEINT * (lang_n + 5) // lang_d AS BIGINT) AS q
+  FROM totals),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+rows AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM rows)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op12_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op13_byte_pairs(spark, sf_dir):
+    vocabulary = byte_pairs.read_vocabulary(public_tokenizers.path(TOKENIZER),
+                                            public_tokenizers.PATTERN)
+    ids = byte_pairs.encode(table(spark, sf_dir, "documents"), vocabulary)
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return byte_pairs.decode(ids, vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendloom.session import work_dir
@@ -21,6 +21,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20  # of rows that Python workers take at once; one longer row is a batch
+
+
+def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """From now on this session's Arrow batches are cut by bytes as well as by rows, so that a
+    batch of very long texts does not fill a worker's memory. A lower limit of the session's
+    own stays."""
+    set_before = spark.conf.get(BATCH_CONF).lower()
+    if not set_before.rstrip("b").isdigit() or int(set_before.rstrip("b")) > limit:
+        spark.conf.set(BATCH_CONF, limit)
+
+
 FILTER_BITS = 23  # 1 MB, whatever the number of keys
 
 
