@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from trendloom.llm.storage import bounded_batches
 
 FIRST_CHAR = 0x100  # the character of byte 0
-CACHED = 1 << 17  # distinct pre-tokens whose ids a task remembers
+CACHED = 1 << 18  # distinct pre-tokens whose ids a task remembers
 CACHED_CHARS = 48  # of the longest remembered
 
 # Fields and enumerators of the model format that are used here.
@@ -106,10 +106,14 @@ class Vocabulary:
         self.ids = [ranks[token] for token in self.tokens]
         self.model = serialized(ranks)
         # Tokens that merging does not arrive at; as whole pre-tokens they are one id still.
-        self.whole = {token.decode(): [self.ids[i]] for i, (token, pieces) in enumerate(zip(
+        self.whole = {token.decode(): _packed([self.ids[i]]) for i, (token, pieces) in enumerate(zip(
             self.tokens, _pieces(self.model, self.tokens))) if pieces != [i] and _is_text(token)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 def _is_text(token: bytes) -> bool:
     try:
         token.decode()
@@ -133,27 +137,29 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id",
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         pre_tokens = regex.compile(own.pattern).findall
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}
 
-        def look_up(tokens: list[str]) -> dict[str, list[int]]:
-            """Ids of at least these pre-tokens. Long ones are not remembered."""
+        def looked_up(tokens: list[str]) -> dict[str, bytes]:
+            """The packed ids of at least these pre-tokens. Long ones are not remembered."""
             nonlocal known
             if len(known) > CACHED:
                 known = {}
-            new = [t for t in set(tokens) - known.keys()]
+            new = [t for t in set(tokens) if t not in known]
             if not new:
                 return known
             pieces = _pieces(own.model, [t.encode() for t in new])
-            found = {t: own.whole.get(t) or [own.ids[p] for p in ps] for t, ps in zip(new, pieces)}
-            known.update((t, ids) for t, ids in found.items() if len(t) <= CACHED_CHARS)
-            return known if all(len(t) <= CACHED_CHARS for t in new) else known | found
+            found = {t: own.whole.get(t) or _packed([own.ids[p] for p in ps])
+                     for t, ps in zip(new, pieces)}
+            short = {t: ids for t, ids in found.items() if len(t) <= CACHED_CHARS}
+            known.update(short)
+            return known if len(short) == len(found) else known | found
 
         for batch in batches:
-            lists = []
+            packed = []
             for value in batch.column(1):
                 tokens = pre_tokens(value.as_py() or "")
-                ids = map(look_up(tokens).__getitem__, tokens)
-                lists.append(np.fromiter(chain.from_iterable(ids), np.int32))
+                packed.append(b"".join(map(looked_up(tokens).__getitem__, tokens)))
+            lists = [np.frombuffer(ids, np.int32) for ids in packed]
             offsets = np.concatenate(([0], np.cumsum([len(ids) for ids in lists])))
             values = np.concatenate(lists) if lists else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays(
