@@ -17,7 +17,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_all_are_registered():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES if name != "pipeline"}
-    assert numbers == set(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name,columns", [
@@ -25,7 +25,11 @@ def test_all_are_registered():
     ("op5_sharding", "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, "
                      "slot bigint, grown_shard int"),
     ("op9_language", "doc_id bigint, held_out boolean, lang_pred string, score double"),
-    ("op10_quality", "doc_id bigint, held_out boolean, score double, predicted int")])
+    ("op10_quality", "doc_id bigint, held_out boolean, score double, predicted int"),
+    ("op11_resampling", "doc_id bigint, n_features bigint, weight bigint, score bigint, "
+                        "rank bigint"),
+    ("op13_byte_pairs", "doc_id bigint, n_tokens bigint, ids_sha256 string, "
+                        "decoded_sha256 string")])
 def test_contract_columns(spark, name, columns):
     got = QUERIES[name](spark, SF)
     assert dict(c.split() for c in columns.split(", ")).items() <= dict(got.dtypes).items()

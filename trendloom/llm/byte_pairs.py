@@ -26,6 +26,7 @@ from trendloom.llm.storage import bounded_batches
 
 FIRST_CHAR = 0x100  # the character of byte 0
 CACHED = 1 << 18  # distinct pre-tokens whose ids a task remembers
+GROUP_CHARS = 1 << 20  # of texts that are looked up at once
 CACHED_CHARS = 48  # of the longest remembered
 
 # Fields and enumerators of the model format that are used here.
@@ -126,6 +127,20 @@ def read_vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(read_ranks(path), pattern)
 
 
+def _groups(texts: pa.Array) -> Iterator[list[str]]:
+    """Consecutive texts of about GROUP_CHARS together: the model takes many new pre-tokens at
+    once for less than each alone."""
+    group, chars = [], 0
+    for value in texts:
+        group.append(value.as_py() or "")
+        chars += len(group[-1])
+        if chars > GROUP_CHARS:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id",
            text: str = "text") -> DataFrame:
     """(doc_id, ids) per row of ``docs``: the token ids of the whole text, without special
@@ -139,12 +154,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id",
         pre_tokens = regex.compile(own.pattern).findall
         known: dict[str, bytes] = {}
 
-        def looked_up(tokens: list[str]) -> dict[str, bytes]:
+        def looked_up(tokens: set[str]) -> dict[str, bytes]:
             """The packed ids of at least these pre-tokens. Long ones are not remembered."""
             nonlocal known
             if len(known) > CACHED:
                 known = {}
-            new = [t for t in set(tokens) if t not in known]
+            new = [t for t in tokens if t not in known]
             if not new:
                 return known
             pieces = _pieces(own.model, [t.encode() for t in new])
@@ -156,9 +171,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id",
 
         for batch in batches:
             packed = []
-            for value in batch.column(1):
-                tokens = pre_tokens(value.as_py() or "")
-                packed.append(b"".join(map(looked_up(tokens).__getitem__, tokens)))
+            for texts in _groups(batch.column(1)):
+                tokens = [pre_tokens(text) for text in texts]
+                ids = looked_up(set().union(*tokens))
+                packed += [b"".join(map(ids.__getitem__, own_tokens)) for own_tokens in tokens]
             lists = [np.frombuffer(ids, np.int32) for ids in packed]
             offsets = np.concatenate(([0], np.cumsum([len(ids) for ids in lists])))
             values = np.concatenate(lists) if lists else np.zeros(0, np.int32)

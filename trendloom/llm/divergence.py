@@ -2,7 +2,7 @@
 
 Each group (language, source) and each language has counts over the language's kept terms,
 which are numbered in the order of their bytes. The counts are kept as segment trees over the
-term numbers, cut into blocks of WIDTH terms. Trees are hash-consed: subtrees with the same
+term numbers, cut into blocks of 2^WIDTH_BITS terms. Trees are hash-consed: subtrees with the same
 counts are one node, wherever they stand and whichever group they belong to. Two trees are
 walked at the same time from the roots down; node pairs that come up again in a walk are
 collapsed into one with a multiplicity, so equal pairs, all pairs of empty subtrees among
@@ -34,8 +34,7 @@ LEAST_DOCS = 30  # documents of the language that a kept term occurs in
 SMOOTHING = 5  # added to every count
 WHOLE = 1_000_000_000  # shares are in billionths
 TERMS = 50  # terms reported per group
-WIDTH_BITS = 12
-WIDTH = 1 << WIDTH_BITS  # terms of a block
+WIDTH_BITS = 12  # of the number of terms in a block
 CHUNK = 64  # sources of a chunk, on average
 PENDING = 200_000  # distinct terms that a task holds before it hands its counts on
 
@@ -122,12 +121,12 @@ def shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return out + 1
 
 
-def _priced(tile: pd.DataFrame) -> pd.DataFrame:
-    """All pairs of sources and the best terms of each source, in one tile."""
+def _priced(tile: pd.DataFrame, bits: int) -> pd.DataFrame:
+    """All pairs of sources and the best terms of each source, in one tile of 2^bits terms."""
     first = tile.iloc[0]
     lang, block, width = first["lang"], int(first["block"]), int(first["width"])
     tile = tile.sort_values(["whole", "source"]).reset_index(drop=True)
-    counts = np.zeros((len(tile), WIDTH), np.int64)
+    counts = np.zeros((len(tile), 1 << bits), np.int64)
     for row, (places, n) in enumerate(zip(tile["places"], tile["counts"])):
         if places is not None and len(places):
             counts[row, places] = n
@@ -170,7 +169,7 @@ def _priced(tile: pd.DataFrame) -> pd.DataFrame:
             at, gap = at[more], (p - q)[found][more]
             best = np.lexsort((at, -gap))[:TERMS]
             out.append(pd.DataFrame({
-                "part": "term", "source": sources[i], "other": None, "term": block * WIDTH + at[best],
+                "part": "term", "source": sources[i], "other": None, "term": (block << bits) + at[best],
                 "value": gap[best]}))
     columns = ["lang", "part", "source", "other", "term", "value"]
     if not out:
@@ -179,7 +178,7 @@ def _priced(tile: pd.DataFrame) -> pd.DataFrame:
 
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-          least_docs: int = LEAST_DOCS) -> DataFrame:
+          least_docs: int = LEAST_DOCS, bits: int = WIDTH_BITS, chunk: int = CHUNK) -> DataFrame:
     """(lang, source, part, item, value, rank) for every group of ``docs``.
 
     Part ``pair`` has a row for each other source of the language: how far apart the two are,
@@ -188,8 +187,10 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     bytes. NULLs in the three columns are empty texts, and '' is a language or source like any
     other; groups without terms take part with zero counts; a language without kept terms has
     pairs of value 0. Every row is a document, repeated ones too. Texts of any length are
-    counted where they lie. An empty table gives no rows. Other columns are not read.
+    counted where they lie. An empty table gives no rows. Other columns are not read. Blocks of
+    2^bits terms and chunks of about ``chunk`` sources bound what a task holds, not the result.
     """
+    width = 1 << bits
     values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
               for c, name in ((lang, "lang"), (source, "source"), (text, "text"))]
     docs = docs.select(*values)
@@ -204,9 +205,9 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     groups = docs.select("lang", "source").distinct().join(
         own.groupBy("lang", "source").agg(F.sum("n").alias("n")), ["lang", "source"], "left")
     chunks = groups.groupBy("lang").agg(
-        F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).join(
+        F.ceil(F.count("*") / chunk).cast("int").alias("chunks")).join(
         langs.withColumnRenamed("n", "lang_n"), "lang", "left").na.fill(0, ["v", "lang_n"])
-    chunks = chunks.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("v") / WIDTH)))
+    chunks = chunks.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("v") / width)))
 
     # A tree per group and one per language, each in blocks; empty blocks are there as well.
     no_source = F.lit(None).cast("string").alias("source")
@@ -222,8 +223,8 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     vectors = own.select("lang", "source", F.lit(False).alias("whole"), "id", "n").unionByName(
         kept.select("lang", no_source, F.lit(True).alias("whole"), "id", "n"))
     vectors = vectors.groupBy("lang", "source", "whole", F.shiftright(
-        "id", WIDTH_BITS).alias("block")).agg(F.collect_list(F.struct(
-            F.col("id").bitwiseAND(WIDTH - 1).cast("int").alias("place"), "n")).alias("_v"))
+        "id", bits).alias("block")).agg(F.collect_list(F.struct(
+            F.col("id").bitwiseAND(width - 1).cast("int").alias("place"), "n")).alias("_v"))
     vectors = vectors.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                              F.col("whole").alias("_whole"), F.col("block").alias("_block"),
                              F.col("_v.place").alias("places"), F.col("_v.n").alias("counts"))
@@ -234,12 +235,12 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     tiles = F.when(F.col("whole"), F.transform(every, lambda j: F.struct(
         j.alias("ca"), j.alias("cb")))).otherwise(F.transform(every, lambda j: F.struct(
             F.least("chunk", j).alias("ca"), F.greatest("chunk", j).alias("cb"))))
-    width = F.least(F.lit(WIDTH).cast("bigint"), F.col("v") - F.col("block") * WIDTH).alias("width")
-    rows = rows.select("lang", "source", "whole", "total", "chunk", "block", width, "places",
-                       "counts", F.explode(tiles).alias("_t"))
+    filled = F.least(F.lit(width).cast("bigint"), F.col("v") - F.col("block") * width)
+    rows = rows.select("lang", "source", "whole", "total", "chunk", "block", filled.alias("width"),
+                       "places", "counts", F.explode(tiles).alias("_t"))
     rows = rows.select("*", "_t.*").drop("_t")
     found = stored(rows.groupBy("lang", "block", "ca", "cb").applyInPandas(
-        _priced, "lang string, part string, source string, other string, term long, value long"),
+        lambda tile: _priced(tile, bits), "lang string, part string, source string, other string, term long, value long"),
         "divergence-tiles")
 
     sums = found.where("part = 'pair'").groupBy("lang", "source", "other").agg(
