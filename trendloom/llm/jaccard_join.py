@@ -29,62 +29,63 @@ from trendloom.llm.components import components
 from trendloom.llm.hashing import (
     U, batch_shingles, mix, shingle_hashes, slabs, text_bytes, word_hashes,
 )
-from trendloom.llm.storage import rows_with_keys, stored
+from trendloom.llm.storage import bounded_batches, rows_with_keys, stored
 
 SIZE = 5  # words of a shingle
 PERCENT = 80  # least Jaccard similarity
 BRIDGES = 8  # members of a shingle's largest class that all others there are tried with
-ORDER_BITS = 22  # frequencies are counted for 2^ORDER_BITS classes of shingles
-CHUNK_BITS = 16  # counts that travel in one row
+ORDER_BITS = 25  # frequencies are counted for 2^ORDER_BITS classes of shingles
+STEPS = 8  # levels of frequency to a doubling
+MOST_SEEN = 1 << 20  # groups that a task remembers to have sent
+CHUNK_BITS = 19  # counts that travel in one row
 SIGNATURE = 8  # 64-bit words of a set's parity signature
 
 
 def _order(docs: DataFrame, size: int) -> np.ndarray:
-    """Rank of each class of shingles (by their top bits) by how often it occurs in all
-    texts. Any order gives the same result; this one keeps frequent shingles out of the
-    prefixes. A table of fixed size."""
+    """Level of each class of shingles (by their top bits): how often it occurs in all texts,
+    as a logarithm in a byte. Any order gives the same result; this one keeps frequent shingles
+    out of the prefixes. A table of fixed size."""
     classes, chunk = 1 << ORDER_BITS, 1 << CHUNK_BITS
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(classes, np.int32)
+        total = np.zeros(classes, np.uint8)  # of one task; a class is frequent at 255 already
         for batch in batches:
             for _, _, part, inner in slabs(*text_bytes(batch.column(0))):
                 hashes, _ = shingle_hashes(*word_hashes(part, inner), size)
-                at, n = np.unique(hashes >> U(64 - ORDER_BITS), return_counts=True)
-                total[at.astype(np.int64)] += n.astype(np.int32)
+                at, n = np.unique((hashes >> U(64 - ORDER_BITS)).astype(np.int64),
+                                  return_counts=True)
+                total[at] = np.minimum(total[at] + n, 255)
         parts = [(i, total[i * chunk:(i + 1) * chunk]) for i in range(classes // chunk)]
         parts = [(i, zlib.compress(part.tobytes(), 1)) for i, part in parts if part.any()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([i for i, _ in parts], pa.int32()),
              pa.array([part for _, part in parts], pa.binary())], names=["chunk", "counts"])
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def levelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(zlib.decompress(part.as_buffer()), np.int32)
-                totals[i] = totals.get(i, 0) + part.astype(np.int64)
+                part = np.frombuffer(zlib.decompress(part.as_buffer()), np.uint8)
+                totals.setdefault(i, np.zeros(chunk, np.int64))[:] += part
+        levels = [np.minimum(STEPS * np.log2(n + 1.0), 255).astype(np.uint8)
+                  for n in totals.values()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.int32()),
-             pa.array([part.tobytes() for part in totals.values()], pa.binary())],
-            names=["chunk", "counts"])
-
-    schema = "chunk int, counts binary"
-    totals = np.zeros(classes, np.uint32)  # cut where they do not fit: the order stays total
-    for row in docs.mapInArrow(counted, schema).repartition("chunk").mapInArrow(
-            summed, schema).toLocalIterator():
+            [pa.array(list(totals), pa.int32()), pa.array([x.tobytes() for x in levels], pa.binary())],
+            names=["chunk", "levels"])
+
+    levels = np.zeros(classes, np.uint8)
+    for row in docs.mapInArrow(counted, "chunk int, counts binary").repartition("chunk").mapInArrow(
+            levelled, "chunk int, levels binary").toLocalIterator():
         at = row["chunk"] * chunk
-        totals[at:at + chunk] = np.minimum(np.frombuffer(row["counts"], np.int64), 2 ** 32 - 1)
-    ranks = np.empty(classes, np.uint32)
-    ranks[np.argsort(totals, kind="stable")] = np.arange(classes)
-    return ranks
+        levels[at:at + chunk] = np.frombuffer(row["levels"], np.uint8)
+    return levels
 
 
-def ordered_set(hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The distinct shingles as numbers that sort in the global order."""
-    low = U(64 - ORDER_BITS)
-    rank = ranks[(hashes >> low).astype(np.int64)].astype(U)
-    return np.unique(rank << low | hashes & ((U(1) << low) - U(1)))
+def ordered_set(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The distinct shingles in the global order: by level, then by their own value."""
+    tokens = np.unique(hashes)
+    level = levels[(tokens >> U(64 - ORDER_BITS)).astype(np.int64)]
+    return tokens[np.argsort(level, kind="stable")]
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -113,10 +114,10 @@ def _alike(n: str, left: str, m: str, right: str, percent: int) -> Column:
     return apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent)
 
 
-def _sets(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
     """(doc_id, row_key, n, node, gid, signature, prefix) per row of (doc_id, row_key, text).
-    The prefix is NULL where the task has already sent this group's."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    The prefix is NULL where the task remembers to have sent this group's."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -133,6 +134,8 @@ def _sets(docs: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFr
                 groups.append(group)
                 signatures.append(_signature(tokens))
                 prefixes.append(None if not n or group in seen else prefix.view(np.int64))
+                if len(seen) >= MOST_SEEN:
+                    seen.clear()
                 seen.add(group)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
@@ -238,11 +241,12 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     with nothing: its component is its own key. NULL keys take part but never name a class
     that has another key. Repeated rows are rows of their own. Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"),
                        F.xxhash64(F.col(key).cast("long"), F.col(text).cast("string")).alias("row_key"),
                        F.col(text).cast("string").alias("text"))
-    ranks = _order(docs.select("text"), size)
-    sets = stored(_sets(docs, ranks, size, percent), "jaccard-sets")
+    levels = _order(docs.select("text"), size)
+    sets = stored(_sets(docs, levels, size, percent), "jaccard-sets")
     members = stored(sets.where(F.col("n") > 0).groupBy("node").agg(
         F.first("gid").alias("gid"), F.first("n").cast("int").alias("n"),
         F.first("signature").alias("signature")), "jaccard-members")

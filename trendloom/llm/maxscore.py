@@ -16,13 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm.storage import stored
 
 SCALE = 256
-LIMIT = np.inf  # greatest scaled component: there is none
 BANDS = (2.0 ** 13, 2.0 ** 22)  # a shard's rows are searched apart by their greatest component
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 2_048
@@ -70,12 +70,16 @@ def _integers(df: DataFrame, key: str, vector: str) -> DataFrame:
     return wide.where(F.col("vec_id").isNotNull()).mapInArrow(scaled, "vec_id long, terms array<double>")
 
 
-def _matrix(terms: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Vectors as rows; a missing component is a term the vector does not have."""
+def _matrix(terms: pa.ChunkedArray, width: int | None = None) -> np.ndarray:
+    """Vectors as rows of the longest one's width, or of the first ``width`` terms; a missing
+    component is a term the vector does not have."""
     flat = terms.combine_chunks()
     if isinstance(flat, pa.ChunkedArray):
         flat = pa.concat_arrays(flat.chunks) if flat.num_chunks else pa.array([], terms.type)
+    if width is not None:
+        flat = pc.list_slice(flat, 0, width) if width else pa.array([[]] * len(flat), terms.type)
     lengths = np.diff(flat.offsets.to_numpy())
+    width = int(lengths.max(initial=0)) if width is None else width
     out = np.zeros((len(flat), width), np.float64)
     if len(flat):
         out[np.arange(width) < lengths[:, None]] = flat.flatten().to_numpy()
@@ -135,14 +139,13 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     64 bits cannot hold is given as NULL, at its right rank. Vectors that are NULL or hold a NULL or
     non-finite component take no part, nor do rows without a key. A shorter vector has no
     weight in the further terms. Repeated rows are results of their own; repeated query rows
-    count once, of different vectors under one key the largest. Other columns are not read.
+    count once, of different vectors under one key the largest. A shard is as wide as its own
+    longest vector. Empty tables give no rows. Other columns are not read.
     """
     rows = stored(_integers(rows, key, vector), "vectors")
     asked = stored(_integers(queries, key, vector).groupBy(F.col("vec_id").alias("query_id")).agg(
         F.max("terms").alias("terms")), "queries")
-    n, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("terms")), F.lit(0))).first()
-    m, wider = asked.agg(F.count("*"), F.coalesce(F.max(F.size("terms")), F.lit(0))).first()
-    width = max(width, wider)
+    n, m = rows.count(), asked.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block_queries))
     # Places in files deal rows out evenly, repeated ones too; a retried task deals alike.
     dealt = rows.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards))
@@ -155,8 +158,9 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
         ids = left.column("vec_id").to_numpy()
         order = np.argsort(ids, kind="stable")
         ids = ids[order]
-        rows = _matrix(left.column("terms"), width)[order]
-        asking = _matrix(right.column("terms"), width)
+        rows = _matrix(left.column("terms"))[order]
+        # Terms that no row of the shard has change no score of it.
+        asking = _matrix(right.column("terms"), rows.shape[1])
         band = np.searchsorted(BANDS, np.abs(rows).max(axis=1, initial=0), side="right")
         out: list[tuple[int, int, int]] = []
         for one in np.unique(band):
