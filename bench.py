@@ -1,6 +1,7 @@
 """Time the registered queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; one JSON line.
 
-Each query runs to completion into the no-op sink, so that nothing but the query counts.
+Each query runs to completion into the no-op sink, so that nothing but the query counts. The
+line is written to stderr after every query, so that a run that is stopped leaves its figures.
 BENCH_QUERIES may name some queries, separated by commas.
 """
 
@@ -33,11 +34,15 @@ def main() -> None:
         start = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - start, 3)
-        print(name, times[name], file=sys.stderr, flush=True)
+        print(report(times, sf_dir), file=sys.stderr, flush=True)
     spark.stop()
-    print(json.dumps({
+    print(report(times, sf_dir))
+
+
+def report(times: dict[str, float], sf_dir: str) -> str:
+    return json.dumps({
         "metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
+        "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")})
 
 
 if __name__ == "__main__":

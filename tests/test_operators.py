@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from trendloom.operators import joins, latest, rates, terms, topics, vocabulary
+from trendloom.operators import domains, joins, latest, rates, terms, topics, vocabulary
+from trendloom.operators.numbering import numbered
 from trendloom.schemas import NEWS, I, S, struct
 from trendloom.sources import readers, sinks
 from trendloom.streaming import metrics
@@ -178,6 +179,71 @@ def test_bag_of_words_equals_vectors(spark):
         assert {r["term_index"]: r["n"] for r in bag if r["id"] == row["id"]} == want
 
 
+def digamma(x):
+    shift = sum(1 / (x + i) for i in range(20))
+    z = x + 20
+    return math.log(z) - 1 / (2 * z) - 1 / (12 * z * z) + 1 / (120 * z ** 4) - shift
+
+
+def test_fold_in_equals_plain_rounds(spark):
+    bag = spark.createDataFrame(
+        [(1, "a", 3), (1, "b", 1), (1, "unknown", 9), (2, "c", 2), (3, "unknown", 1)],
+        "id int, term string, n bigint")
+    weights = {"a": [0.7, 0.1], "b": [0.2, 0.3], "c": [0.1, 0.6]}
+    model = spark.createDataFrame(list(weights.items()), "term string, weights array<double>")
+    mixtures = topics.fold_in(bag, "id", model, 8, 0.2)
+    got = {r["id"]: r["shares"] for r in mixtures.collect()}
+    assert set(got) == {1, 2}
+    for doc, counts in ((1, {"a": 3, "b": 1}), (2, {"c": 2})):
+        g = [0.2 + sum(counts.values()) / 2] * 2
+        for _ in range(8):
+            e = [math.exp(digamma(x)) for x in g]
+            g = [0.2 + sum(n * weights[t][k] * e[k] / sum(w * x for w, x in zip(weights[t], e))
+                           for t, n in counts.items()) for k in range(2)]
+        assert got[doc] == pytest.approx([x / sum(g) for x in g], abs=1e-6)
+    likely = topics.term_likelihood(bag, "id", model, mixtures).first()
+    assert likely["n_terms"] == 6
+    want = sum(n * math.log(sum(w * s for w, s in zip(weights[t], got[d]))) for d, t, n in
+               ((1, "a", 3), (1, "b", 1), (2, "c", 2))) / 6
+    assert likely["log_likelihood"] == pytest.approx(want)
+
+
+def test_fitted_topics_explain_held_out_terms(spark):
+    """Two kinds of documents: a fitted model gives the terms of new ones a likelihood that no
+    model without topics has, and puts each kind into a topic of its own."""
+    rng = random.Random(8)
+    kinds = [[f"a{i}" for i in range(12)], [f"b{i}" for i in range(12)]]
+    draw = lambda i: [rng.choice(kinds[i % 2]) for _ in range(20)]
+    train = tokens(spark, *[draw(i) for i in range(60)])
+    model, words = topics.fit_topics(train, "t", k=2, max_iter=30, min_df=1)
+    matrix = topics.topic_matrix(model, words, spark)
+    new = tokens(spark, *[draw(i) for i in range(20)])
+    bag = topics.bag_of_words(new, "id", "t", topics.fit_vocabulary(train, "t", min_df=1))
+    mixtures = topics.fold_in(bag, "id", matrix)
+    best = {r["id"]: r["shares"].index(max(r["shares"])) for r in mixtures.collect()}
+    assert len({best[i] for i in best if i % 2}) == 1 and len(set(best.values())) == 2
+    flat = topics.term_likelihood(bag, "id", matrix, mixtures.withColumn(
+        "shares", F.array(F.lit(0.5), F.lit(0.5)))).first()["log_likelihood"]
+    assert topics.term_likelihood(bag, "id", matrix, mixtures).first()["log_likelihood"] > flat + 0.3
+
+
+def test_rule_lemmas(spark):
+    words = lambda *w: spark.createDataFrame([(x,) for x in w], "term string")
+    forms = words("cats", "boxes", "wolves", "women", "ponies", "glasses", "bus", "this", "s", "cats",
+                  "geese", "churches", None)
+    lexicon = words("cat", "box", "wolf", "woman", "pony", "glass", "bus", "church", "churche",
+                    "glasses", None)
+    irregular = spark.createDataFrame([("geese", "goose"), ("geese", "goose"), ("bus", "bus")],
+                                      "form string, lemma string")
+    want = {("cats", "cat"), ("boxes", "box"), ("wolves", "wolf"), ("women", "woman"),
+            ("ponies", "pony"), ("glasses", "glass"), ("churches", "church")}
+    got = vocabulary.rule_lemmas(forms, lexicon)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    got = vocabulary.rule_lemmas(forms, lexicon, irregular)
+    assert sorted(map(tuple, got.collect())) == sorted(want | {("geese", "goose")})
+    assert vocabulary.rule_lemmas(forms, words(None)).count() == 0
+
+
 def test_lda_topics(spark):
     docs = tokens(spark, *([["cat", "dog", "cat"], ["sun", "moon"]] * 10))
     run = lambda: topics.lda_topics(docs, "t", k=2, max_iter=5, min_df=1, n_terms=2)
@@ -226,6 +292,20 @@ def test_tables_and_files(spark, tmp_path):
     assert spark.read.schema("term string, n bigint").json(out).count() == 3
 
 
+def test_quarantine(spark, tmp_path):
+    lines = ['{"title": "a", "url": "u"}', '{"title": "b"', "", "no json", '{"title": {"x": 1}}',
+             "[]", '{"other": 1}', "   ", '{"title": null}']
+    (tmp_path / "in.json").write_text("\n".join(lines))
+    good, broken = readers.quarantine(spark, str(tmp_path / "in.json"), NEWS, str(tmp_path / "out"))
+    assert good.columns == NEWS.names
+    assert sorted(map(str, (r["title"] for r in good.collect()))) == [
+        "None", "None", "a", '{"x":1}']
+    assert sorted(r["_line"] for r in broken.collect()) == ["[]", "no json", '{"title": "b"']
+    assert all(r["_file"].endswith("in.json") for r in broken.collect())
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_broken" in plan
+
+
 def test_empty_windows_are_filled(spark):
     counts = spark.createDataFrame([(0, 2), (600, 1), (2400, 4)], "window_start bigint, n bigint")
     rows = metrics.fill_empty(counts, 600).orderBy("window_start").collect()
@@ -243,8 +323,10 @@ def test_windows_are_pruned_exactly(spark):
     stats = terms.merge_stats(spark.createDataFrame(
         rows, "topic string, slide bigint, term string, n bigint, df bigint, max_tf double"),
         "topic", "slide")
-    kept = terms.within_reach(stats, "topic", 300, 60, 5)
-    assert kept.count() < stats.count()
+    laid = terms.in_chunks(stats, "topic", 300, 60)
+    bounds = terms.window_bounds(laid, "topic", 300, 60, 5)
+    kept = terms.within_reach(laid, bounds, "topic", 300, 60)
+    assert kept.count() < laid.count()
     counts = stats.groupBy("topic", "slide").agg(F.lit(50).cast("bigint").alias("n_docs"))
     start = F.explode(terms.window_starts(F.col("slide"), 300, 60))
     merged = terms.merge_stats(stats.withColumn("window_start", start), "window_start", "topic")
@@ -261,3 +343,58 @@ def test_kafka_and_console_writers(spark):
     query = sinks.console_writer(spark.readStream.format("rate").load(), "append").start()
     query.stop()
     assert query.exception() is None
+
+
+@pytest.mark.parametrize("group", [None, ["g"]])
+def test_numbers_are_gapless_and_repeatable(spark, group):
+    rng = random.Random(6)
+    rows = [(rng.randrange(40), rng.choice(["a", "b", None])) for _ in range(500)] + [(7, "a")] * 300
+    df = spark.createDataFrame(rows, "v int, g string").repartition(6)
+    got = numbered(df, [F.desc("v")], "n", group, start=0)
+    assert got.columns == ["v", "g", "n"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert group or "Window" not in plan
+    first, again = got.collect(), got.collect()
+    assert sorted(first, key=str) == sorted(again, key=str)
+    groups = {}
+    for v, g, n in first:
+        groups.setdefault(g if group else 0, []).append((n, -v))
+    for members in groups.values():
+        members.sort()
+        assert [n for n, _ in members] == list(range(len(members)))
+        assert [v for _, v in members] == sorted(v for _, v in members)
+    assert numbered(df.limit(0), ["v"]).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    tweets = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(
+        F.col("id") % 50 != 1, F.concat(F.lit("u"), F.col("id") % 400)).alias("url"))
+    news = spark.range(900).select(F.col("id").alias("doc_id"), F.when(
+        F.col("id") % 90 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 450)).alias("url"))
+    joins.save_for_join({"b_tweets": tweets, "b_news": news}, "url", 8, rows=500)
+    assert {r[0] for r in spark.table("b_tweets_hot").select("url").distinct().collect()} == {"hot"}
+    assert spark.table("b_tweets").where("url = 'hot'").count() == 0
+    got = joins.url_join_tables(spark, "b_tweets", "b_news")
+    want = tweets.join(news, "url").select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    even = spark.table("b_tweets").join(spark.table("b_news").hint("merge"), "url")
+    assert "Exchange" not in even._jdf.queryExecution().executedPlan().toString()
+
+
+SUFFIXES = ["com", "uk", "co.uk", "*.ck", "!www.ck", "*.kobe.jp", "jp", "!city.kobe.jp", ""]
+
+
+@pytest.mark.parametrize("host,domain", [
+    ("www.example.com", "example.com"), ("example.com", "example.com"), ("com", "com"),
+    ("a.b.co.uk", "b.co.uk"), ("co.uk", "co.uk"), ("x.uk", "x.uk"), ("a.b.c.ck", "b.c.ck"),
+    ("c.ck", "c.ck"), ("www.ck", "www.ck"), ("a.www.ck", "www.ck"), ("a.b.kobe.jp", "a.b.kobe.jp"),
+    ("x.a.b.kobe.jp", "a.b.kobe.jp"), ("city.kobe.jp", "city.kobe.jp"),
+    ("q.city.kobe.jp", "city.kobe.jp"), ("local.unknown", "local.unknown"),
+    ("a.local.unknown", "local.unknown"), ("User@WWW.Example.COM:80", "example.com"),
+    ("example.com.", "example.com"), ("", "")])
+def test_registrable_domains(spark, host, domain):
+    rules = spark.createDataFrame([(rule,) for rule in SUFFIXES], "rule string")
+    rows = spark.createDataFrame([(1, host), (2, None), (3, host)], "id int, host string")
+    got = domains.with_domain(rows, "host", rules, ["id"])
+    assert sorted((r["id"], r["domain"]) for r in got.collect()) == [
+        (1, domain), (2, None), (3, domain)]

@@ -1,26 +1,18 @@
-"""Porter's suffix stripping (1980) as Arrow kernels over a batch's distinct words.
+"""Porter's suffix stripping (1980) as columns.
 
-Stemming has no counterpart among Spark's functions, so this is the one place where
-data leaves the JVM, in Arrow batches. A batch is dictionary-encoded first; the rules
-then run as regular-expression kernels over the distinct words only, and the stems are
-mapped back to the tokens by position. There is no loop over rows and no shuffle.
+A word's measure is a pattern over its consonants and vowels, and the steps are conditional
+expressions over all tokens of a text, one after the other; nothing leaves the JVM. Each step
+looks at the last two letters first, so that patterns run on the few words they may change.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The rules travel to the Python workers inside the function, so that the package does not
-# have to be installed on the executors.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 # A word is [C](VC){m}[V]; "y" is a vowel after a consonant. An initial "y" is written
 # "Y" while the rules run, so that it only reads as a consonant.
@@ -47,112 +39,99 @@ STEP_4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "men
           "ent", "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
 
 
-def suffix_pattern(suffixes: Sequence[str]) -> str:
-    """Stem and suffix of a word; the lazy stem makes the longest suffix win."""
-    return f"^(?P<stem>.*?)(?P<suffix>{'|'.join(suffixes)})$"
+# While the rules run, a word that stays as it is stands in capitals, and a stem that step 1b
+# has left to be repaired ends in this sign.
+REPAIR = "\uE000"
 
 
-def _matches(words: pa.Array, pattern: str) -> pa.Array:
-    return pc.match_substring_regex(words, pattern)
+def _shorter(word: Column, n: int) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - n)
 
 
-def _split(words: pa.Array, pattern: str) -> tuple[pa.Array, pa.Array, pa.Array]:
-    """(found, stem, suffix); stem and suffix are empty where nothing was found."""
-    parts = pc.extract_regex(words, pattern)
-    found = pc.is_valid(parts)
-    stem = pc.fill_null(pc.struct_field(parts, "stem"), "")
-    suffix = pc.fill_null(pc.struct_field(parts, "suffix"), "")
-    return found, stem, suffix
-
-
-def _rewrite(words: pa.Array, rules: dict[str, str], condition: str | None) -> pa.Array:
-    found, stem, suffix = _split(words, suffix_pattern(list(rules)))
-    new = pa.array(list(rules.values())).take(pc.index_in(suffix, pa.array(list(rules))))
-    if condition is not None:
-        found = pc.and_(found, _matches(stem, condition))
-    changed = pc.binary_join_element_wise(stem, pc.fill_null(new, ""), "")
-    return pc.if_else(found, changed, words)
-
-
-def _past_and_gerund(words: pa.Array) -> pa.Array:
-    """Step 1b: -eed, -ed and -ing, and the repair of the stem the latter two leave."""
-    found, stem, suffix = _split(words, suffix_pattern(["eed", "ed", "ing"]))
-    eed = pc.equal(suffix, "eed")
-    shorten = pc.and_(eed, _matches(stem, M_ABOVE_0))
-    strip = pc.and_(pc.and_(found, pc.invert(eed)), _matches(stem, HAS_VOWEL))
-    add_e = pc.or_(_matches(stem, "(?:at|bl|iz)$"), _matches(stem, SHORT))
-    repaired = pc.if_else(
-        _matches(stem, DOUBLED), pc.utf8_slice_codeunits(stem, 0, -1),
-        pc.if_else(add_e, pc.binary_join_element_wise(stem, "e", ""), stem),
-    )
-    short = pc.binary_join_element_wise(stem, "ee", "")
-    return pc.if_else(shorten, short, pc.if_else(strip, repaired, words))
-
-
-def _final_y(words: pa.Array) -> pa.Array:
+def _marked(word: Column, protect: Sequence[str]) -> Column:
+    still = F.length(word) <= 2
+    if protect:
+        still = still | word.isin(*protect)
+    return F.when(still, F.translate(word, LETTERS, LETTERS.upper())).when(
+        word.startswith("y"), F.concat(F.lit("Y"), F.substring(word, F.lit(2), F.length(word)))
+    ).otherwise(word)
+
+
+def _rewritten(word: Column, rules: Mapping[str, str], condition: str | None) -> Column:
+    """The word by the longest suffix it has; the rule only holds if the stem fits."""
+    out = word
+    for suffix in sorted(rules, key=len):
+        stem = _shorter(word, len(suffix))
+        new = F.concat(stem, F.lit(rules[suffix]))
+        if condition is not None:
+            new = F.when(stem.rlike(condition), new).otherwise(word)
+        out = F.when(word.endswith(suffix), new).otherwise(out)
+    endings = {suffix[-2:] for suffix in rules}
+    if min(map(len, endings)) < 2:
+        return out
+    return F.when(F.substring(word, -2, 2).isin(*sorted(endings)), out).otherwise(word)
+
+
+def _past_and_gerund(word: Column) -> Column:
+    """Step 1b: -eed, -ed and -ing; the stem that the latter two leave is to be repaired."""
+    def stripped(n: int) -> Column:
+        stem = _shorter(word, n)
+        return F.when(stem.rlike(HAS_VOWEL), F.concat(stem, F.lit(REPAIR))).otherwise(word)
+
+    eed = F.when(_shorter(word, 3).rlike(M_ABOVE_0), _shorter(word, 1)).otherwise(word)
+    return F.when(word.endswith("ing"), stripped(3)).when(word.endswith("eed"), eed).when(
+        word.endswith("ed"), stripped(2)).otherwise(word)
+
+
+def _repaired(word: Column) -> Column:
+    stem = _shorter(word, 1)
+    add_e = stem.rlike("(?:at|bl|iz)$") | stem.rlike(SHORT)
+    return F.when(word.endswith(REPAIR), F.when(stem.rlike(DOUBLED), _shorter(word, 2)).when(
+        add_e, F.concat(stem, F.lit("e"))).otherwise(stem)).otherwise(word)
+
+
+def _final_y(word: Column) -> Column:
     """Step 1c."""
-    found, stem, _ = _split(words, suffix_pattern(["y"]))
-    change = pc.and_(found, _matches(stem, HAS_VOWEL))
-    return pc.if_else(change, pc.binary_join_element_wise(stem, "i", ""), words)
+    stem = _shorter(word, 1)
+    return F.when(word.endswith("y") & stem.rlike(HAS_VOWEL), F.concat(stem, F.lit("i"))).otherwise(
+        word)
 
 
-def _long_suffixes(words: pa.Array) -> pa.Array:
+def _long_suffixes(word: Column) -> Column:
     """Step 4; -ion only goes after s or t."""
-    found, stem, _ = _split(words, suffix_pattern(STEP_4))
-    ion, ion_stem, _ = _split(words, "^(?P<stem>.*[st])(?P<suffix>ion)$")
-    stem = pc.if_else(ion, ion_stem, stem)
-    strip = pc.and_(pc.or_(found, ion), _matches(stem, M_ABOVE_1))
-    return pc.if_else(strip, stem, words)
-
-
-def _tidy_up(words: pa.Array) -> pa.Array:
-    """Step 5: a final -e, then one l of -ll."""
-    found, stem, _ = _split(words, suffix_pattern(["e"]))
-    one = pc.and_(_matches(stem, M_EQUALS_1), pc.invert(_matches(stem, SHORT)))
-    drop = pc.and_(found, pc.or_(_matches(stem, M_ABOVE_1), one))
-    words = pc.if_else(drop, stem, words)
-    drop = pc.and_(_matches(words, "ll$"), _matches(words, M_ABOVE_1))
-    return pc.if_else(drop, pc.utf8_slice_codeunits(words, 0, -1), words)
-
-
-def stem_words(words: pa.Array) -> pa.Array:
-    """Stems of lower-case words; words of one or two letters stay as they are."""
-    out = pc.replace_substring_regex(words, "^y", "Y")
-    out = _rewrite(out, STEP_1A, None)
-    out = _final_y(_past_and_gerund(out))
-    out = _rewrite(out, STEP_2, M_ABOVE_0)
-    out = _rewrite(out, STEP_3, M_ABOVE_0)
-    out = _tidy_up(_long_suffixes(out))
-    out = pc.replace_substring_regex(out, "^Y", "y")
-    return pc.if_else(pc.less_equal(pc.utf8_length(words), 2), words, out)
-
-
-def _stem_distinct(words: pa.Array, protect: Sequence[str]) -> pa.Array:
-    encoded = pc.dictionary_encode(words)
-    stems = stem_words(encoded.dictionary)
-    if protect:
-        kept = pc.is_in(encoded.dictionary, pa.array(list(protect)))
-        stems = pc.if_else(kept, encoded.dictionary, stems)
-    return stems.take(encoded.indices)
+    rules = {suffix: "" for suffix in STEP_4}
+    ion = word.endswith("sion") | word.endswith("tion")
+    stem = _shorter(word, 3)
+    return F.when(ion, F.when(stem.rlike(M_ABOVE_1), stem).otherwise(word)).otherwise(
+        _rewritten(word, rules, M_ABOVE_1))
 
 
-def stem_word(word: Column, protect: Sequence[str] = ()) -> Column:
-    """Stem of one word per row."""
+def _final_e(word: Column) -> Column:
+    stem = _shorter(word, 1)
+    one = stem.rlike(M_EQUALS_1) & ~stem.rlike(SHORT)
+    return F.when(word.endswith("e") & (stem.rlike(M_ABOVE_1) | one), stem).otherwise(word)
+
 
-    def stem(words: pa.Array) -> pa.Array:
-        return _stem_distinct(words, protect)
+def _double_l(word: Column) -> Column:
+    return F.when(word.endswith("ll") & word.rlike(M_ABOVE_1), _shorter(word, 1)).otherwise(word)
 
-    return F.arrow_udf(stem, "string")(word)
+
+STEPS = [
+    lambda w: _rewritten(w, STEP_1A, None), _past_and_gerund, _repaired, _final_y,
+    lambda w: _rewritten(w, STEP_2, M_ABOVE_0), lambda w: _rewritten(w, STEP_3, M_ABOVE_0),
+    _long_suffixes, _final_e, _double_l,
+]
 
 
 def stem_tokens(tokens: Column, protect: Sequence[str] = ()) -> Column:
-    """Stems of an array of words; NULL stays NULL."""
+    """Stems of an array of lower-case words; words of one or two letters and those in
+    ``protect`` stay as they are, NULL stays NULL."""
+    out = F.transform(tokens, lambda w: _marked(w, protect))
+    for step in STEPS:
+        out = F.transform(out, step)
+    return F.transform(out, lambda w: F.translate(w, LETTERS.upper(), LETTERS))
 
-    def stem(lists: pa.Array) -> pa.Array:
-        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        missing = np.append(lists.is_null().to_numpy(zero_copy_only=False), False)
-        stems = _stem_distinct(pc.list_flatten(lists), protect)
-        return pa.ListArray.from_arrays(pa.array(offsets, mask=missing), stems)
 
-    return F.arrow_udf(stem, "array<string>")(tokens)
+def stem_word(word: Column, protect: Sequence[str] = ()) -> Column:
+    """Stem of one word per row."""
+    return F.get(stem_tokens(F.array(word), protect), 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000  # rows of one key that one task may take
@@ -21,6 +21,15 @@ def hot_keys(counts: DataFrame, key: str, weight: str, salts: str,
         F.col(key).alias("_hot_key"), F.ceil(F.col(weight) / share).cast("int").alias(salts))
 
 
+SMALL_ROWS = 1_000_000  # narrow rows that every task may hold
+
+
+def small_or_not(rows: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """Narrow rows to be joined: broadcast if a count shows that they are few, and left to
+    Spark otherwise."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def skew_join(left: DataFrame, right: DataFrame, key: str, spread: list[str],
               how: str = "inner", counts: DataFrame | None = None,
               right_spread: list[str] | None = None, rows: int = ROWS_PER_TASK) -> DataFrame:
@@ -87,6 +96,36 @@ def url_join(tweets: DataFrame, news: DataFrame, tweet_id: str = "id",
     return skew_join(left, news, "url", [tweet_id], right_spread=[news_id])
 
 
+URL_BUCKETS = 200
+
+
+def save_for_join(sides: dict[str, DataFrame], key: str, buckets: int = URL_BUCKETS,
+                  rows: int = ROWS_PER_TASK) -> None:
+    """Save two tables for joins on ``key`` that move nothing.
+
+    Both are bucketed and sorted by the key. A key that is heavy on either side would make its
+    bucket heavy as well; its rows go into a table of their own, ``<name>_hot``.
+    """
+    keys = [hot_keys(df.groupBy(key).agg(F.count("*").alias("_weight")), key, "_weight", "_parts",
+                     rows).select("_hot_key") for df in sides.values()]
+    hot = F.broadcast(keys[0].unionByName(keys[1]).distinct())
+    for name, df in sides.items():
+        heavy = df[key] == hot["_hot_key"]
+        df.join(hot, heavy, "left_anti").repartition(buckets, key).write.mode(
+            "overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+        df.join(hot, heavy, "left_semi").write.mode("overwrite").saveAsTable(f"{name}_hot")
+
+
+def url_join_tables(spark: SparkSession, tweets: str, news: str, url: str = "url",
+                    tweet_id: str = "id", news_id: str = "doc_id") -> DataFrame:
+    """:func:`url_join` of two tables of :func:`save_for_join`: bucket by bucket, without a
+    shuffle, for all but the heavy keys, which are split."""
+    even = spark.table(tweets).join(spark.table(news).hint("merge"), url)
+    heavy = skew_join(spark.table(f"{tweets}_hot"), spark.table(f"{news}_hot"), url, [tweet_id],
+                      right_spread=[news_id])
+    return even.unionByName(heavy)
+
+
 def url_join_counts(tweets: DataFrame, news: DataFrame) -> DataFrame:
     """Number of joined rows and of distinct URLs in :func:`url_join`, without building
     the pairs: both sides are counted per URL first."""

@@ -15,8 +15,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from trendloom.operators.joins import skew_join
+from trendloom.operators.joins import ROWS_PER_TASK, hot_keys, skew_join, small_or_not
 from trendloom.schemas import PAIR_REPORT, SLIDE_PAIRS, SLIDE_TERMS, TREND_REPORT
+from trendloom.session import work_dir
 
 DIGITS = 9
 POOL = 25
@@ -151,7 +152,6 @@ def windowed_top_terms(docs: DataFrame, topic: str, ts: str, tokens: str, window
     """Top terms per (window, topic) over sliding windows.
 
     Documents are reduced to per-slide statistics once; those are merged into the windows.
-    The fan-out of ``window / slide`` then applies to merged statistics and not to texts.
     """
     docs = docs.withColumn("slide", slide_start(F.col(ts), slide))
     stats = term_stats(doc_terms(docs, [topic, "slide"], tokens), topic, "slide")
@@ -159,46 +159,131 @@ def windowed_top_terms(docs: DataFrame, topic: str, ts: str, tokens: str, window
     return top_terms_of_slides(stats, counts, topic, window, slide, pool, k)
 
 
-def within_reach(stats: DataFrame, topic: str, window: int, slide: int,
-                 pool: int = POOL) -> DataFrame:
-    """The per-slide rows that can matter to the pool of some window.
+CHUNK_WINDOWS = 64  # window starts of a chunk
+PLACE = ["_chunk", "_part"]  # with the topic: what one task holds of the slides
 
-    Of all windows over a slide, each has ``pool`` terms at least as frequent as the slide's
-    ``pool``-th term. A term that occurs less often than the least of these bounds in all
-    slides that share a window with this one is in no pool here. The bound is exact: a term
-    that is in a window's pool keeps all its rows of that window.
+
+def kept(stats: DataFrame) -> DataFrame:
+    """Statistics that are read more than once, written to the shared work folder."""
+    path = work_dir(stats.sparkSession, "slides")
+    stats.write.parquet(path)
+    return stats.sparkSession.read.schema(stats.schema).parquet(path)
+
+
+def in_chunks(stats: DataFrame, topic: str, window: int, slide: int,
+              rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Per-slide rows dealt out by chunks of CHUNK_WINDOWS window starts.
+
+    A slide is in the chunks of all windows that cover it, which is one for most slides and two
+    for those near a chunk's start. Everything a window needs is then in one place, and time
+    does not make a place grow. A (topic, chunk) of more than about ``rows`` rows is dealt out
+    further by term. The windows are made of the rows without a shuffle. As they are read more
+    than once, for the weights, the bounds and the windows, they are written first.
     """
-    by_count = W.partitionBy(topic, "slide").orderBy(F.desc("n"))
-    bounds = stats.select(topic, "slide", "n").withColumn(
-        "_r", F.row_number().over(by_count)).where(F.col("_r") == pool).select(
-        topic, "slide", F.col("n").alias("bound"))
+    stats = kept(stats)
+    span = CHUNK_WINDOWS * slide
+    first = F.floor((F.col("slide") - (window - slide)) / span).cast("bigint")
+    last = F.floor(F.col("slide") / span).cast("bigint")
+    laid = stats.withColumn("_chunk", F.explode(F.sequence(first, last)))
+    keyed = laid.withColumn("_key", F.struct(topic, "_chunk"))
+    hot = hot_keys(keyed.groupBy("_key").agg(F.count("*").alias("_rows")), "_key", "_rows",
+                   "_parts", rows)
+    parted = keyed.join(F.broadcast(hot), keyed["_key"] == hot["_hot_key"], "left")
+    part = F.pmod(F.xxhash64("term"), F.coalesce("_parts", F.lit(1))).cast("int")
+    return parted.withColumn("_part", part).select(*stats.columns, *PLACE).repartition(
+        topic, *PLACE)
+
+
+def window_bounds(laid: DataFrame, topic: str, window: int, slide: int,
+                  pool: int = POOL) -> DataFrame:
+    """(topic, place, window_start, bound): a count that ``pool`` terms of the window reach.
+
+    It is the highest ``pool``-th count of the window's slides. Bounds come from how many terms
+    have which count, so no slide's terms are sorted. Windows without a bound are left out."""
+    place = [topic, *PLACE]
+    by_count = laid.groupBy(*place, "slide", "n").agg(F.count("*").alias("_terms"))
+    above = W.partitionBy(*place, "slide").orderBy(F.desc("n"))
+    bounds = by_count.withColumn("_above", F.sum("_terms").over(above)).where(
+        F.col("_above") >= pool).groupBy(*place, "slide").agg(F.max("n").alias("bound"))
     start = F.explode(window_starts(F.col("slide"), window, slide)).alias("window_start")
-    per_window = bounds.select(topic, start, "bound").groupBy(topic, "window_start").agg(
+    return bounds.select(*place, start, "bound").groupBy(*place, "window_start").agg(
         F.max("bound").alias("bound"))
+
+
+def within_reach(laid: DataFrame, bounds: DataFrame, topic: str, window: int,
+                 slide: int) -> DataFrame:
+    """The rows of :func:`in_chunks` that can matter to the pool of some window.
+
+    A term that occurs less often than the least of the :func:`window_bounds` of a slide's
+    windows, in all slides of the chunk that share a window with this one, is in no pool here.
+    That is exact: a term that is in a window's pool keeps all its rows of that window.
+    """
+    place = [topic, *PLACE]
     # A slide whose windows do not all have a bound keeps all its rows.
     covered = F.explode(F.sequence("window_start", F.col("window_start") + window - slide,
                                    F.lit(slide).cast("bigint"))).alias("slide")
-    least = per_window.select(topic, covered, "bound").groupBy(topic, "slide").agg(
+    least = bounds.select(*place, covered, "bound").groupBy(*place, "slide").agg(
         F.min("bound").alias("_least"), F.count("*").alias("_windows"))
-    around = W.partitionBy(topic, "term").orderBy("slide").rangeBetween(
+    around = W.partitionBy(*place, "term").orderBy("slide").rangeBetween(
         slide - window, window - slide)
-    reach = stats.withColumn("_most", F.sum("n").over(around))
-    kept = reach.join(least, [topic, "slide"], "left").where(
+    reach = laid.withColumn("_most", F.sum("n").over(around))
+    kept = reach.join(least.hint("shuffle_hash"), [*place, "slide"], "left").where(
         F.col("_windows").isNull() | (F.col("_windows") < window // slide)
         | (F.col("_most") >= F.col("_least")))
-    return kept.select(*stats.columns)
+    return kept.select(*laid.columns)
+
+
+def _nodes(window: int, slide: int) -> Column:
+    """The dyadic nodes a slide belongs to, as (level, node); a node of level l covers 2^l
+    slides, and none is longer than a window."""
+    at = F.expr(f"slide div {slide}")
+    return F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(at, level).alias("node"))
+                     for level in range((window // slide).bit_length())])
+
+
+def _readers(window: int, slide: int) -> Column:
+    """Starts of the windows that read a node: those that cover it but not its parent. A window
+    reads at most two nodes of a level, and each of its slides through exactly one."""
+    spans, top = window // slide, (window // slide).bit_length() - 1
+    size = F.expr("shiftleft(1L, level)")
+    begin = F.col("node") * size
+    end = begin + size
+    even = F.col("node") % 2 == 0
+    low = F.when((F.col("level") == top) | even, end - spans).otherwise(
+        F.greatest(end - spans, begin - size + 1))
+    high = F.when((F.col("level") == top) | ~even, begin).otherwise(
+        F.least(begin, end + size - spans - 1))
+    return F.transform(F.when(low <= high, F.sequence(low, high, F.lit(1).cast("bigint"))),
+                       lambda start: start * slide)
+
+
+def by_windows(laid: DataFrame, topic: str, window: int, slide: int,
+               merge: Callable[..., DataFrame]) -> DataFrame:
+    """Rows of :func:`in_chunks` merged per (window_start, topic, term), without a shuffle.
+
+    A slide goes into one node per level, about log2(window / slide) of them, and what a term
+    has in a node is merged there once; a window then reads at most two nodes a level.
+    """
+    group = [topic, *PLACE]
+    nodes = merge(laid.select(*laid.columns, F.inline(_nodes(window, slide))).drop("slide"),
+                  *group, "level", "node")
+    starts = nodes.select(*nodes.columns, F.explode(_readers(window, slide)).alias("window_start"))
+    own = F.floor(F.col("window_start") / (CHUNK_WINDOWS * slide)) == F.col("_chunk")
+    return merge(starts.where(own).drop("level", "node"), *group, "window_start")
 
 
 def top_terms_of_slides(stats: DataFrame, counts: DataFrame, topic: str, window: int,
                         slide: int, pool: int = POOL, k: int = TOP) -> DataFrame:
     """Per-slide statistics and document counts -> ranked terms per (window, topic)."""
-    start = F.explode(window_starts(F.col("slide"), window, slide))
-    group = ["window_start", topic]
-    # Only what can reach a pool fans out into windows.
-    near = within_reach(stats, topic, window, slide, pool)
-    merged = merge_stats(near.withColumn("window_start", start), *group)
+    laid = in_chunks(stats, topic, window, slide)
+    bounds = window_bounds(laid, topic, window, slide, pool)
+    near = within_reach(laid, bounds, topic, window, slide)
+    merged = by_windows(near, topic, window, slide, merge_stats).join(
+        bounds.hint("shuffle_hash"), [topic, *PLACE, "window_start"], "left").where(
+        F.col("bound").isNull() | (F.col("n") >= F.col("bound")))
     n_docs = window_docs(counts, topic, window, slide)
-    return with_window_bounds(top_terms_by_group(merged, n_docs, group, pool, k), window)
+    return with_window_bounds(top_terms_by_group(
+        merged.drop(*PLACE, "bound"), n_docs, ["window_start", topic], pool, k), window)
 
 
 def window_docs(counts: DataFrame, topic: str, window: int, slide: int) -> DataFrame:
@@ -237,14 +322,31 @@ def merge_pairs(stats: DataFrame, *group: str, k: int = TOP) -> DataFrame:
 def top_pairs_of_slides(stats: DataFrame, counts: DataFrame, topic: str, window: int, slide: int,
                         k: int = TOP) -> DataFrame:
     """The ``k`` best (document, term) pairs per (window, topic), out of per-slide statistics;
-    a term may come up more than once."""
-    start = F.explode(window_starts(F.col("slide"), window, slide))
+    a term may come up more than once.
+
+    A pair is no better than the best pair of its term, and that one's score takes the term's
+    document frequency and highest TF only. So the windows are merged for these two numbers,
+    and entries are fetched for the ``k`` terms with the best pairs: others have none among the
+    first ``k``, which is exact with ties by name.
+    """
     group = ["window_start", topic]
-    # Slides are brought together by term before they fan out: the merge needs no shuffle.
-    by_term = stats.repartition(topic, "term")
-    merged = merge_pairs(by_term.withColumn("window_start", start), *group, k=k).join(
-        window_docs(counts, topic, window, slide), group)
-    scores = merged.select(*group, "term", "n_docs", "df", F.explode("best").alias("_e")).select(
+    stats = kept(stats)
+    by_term = stats.select(topic, "slide", "term", "df",
+                           (-F.col("best")[0]["less_tf"]).alias("max_tf"))
+    merged = by_windows(
+        in_chunks(by_term, topic, window, slide), topic, window, slide,
+        lambda rows, *by: rows.groupBy(*by, "term").agg(F.sum("df").alias("df"),
+                                                        F.max("max_tf").alias("max_tf")))
+    docs = small_or_not(window_docs(counts, topic, window, slide))
+    best = W.partitionBy(*group).orderBy(F.desc("score"), "term")
+    heads = merged.drop(*PLACE).join(docs, group).withColumn(
+        "score", rounded(idf(F.col("n_docs"), F.col("df")) * F.col("max_tf"))).withColumn(
+        "rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("score", "rank", "max_tf")
+    slides = F.explode(F.sequence("window_start", F.col("window_start") + window - slide,
+                                  F.lit(slide).cast("bigint")))
+    entries = heads.withColumn("slide", slides).join(
+        stats.select(topic, "slide", "term", "best"), [topic, "slide", "term"])
+    scores = entries.select(*group, "term", "n_docs", "df", F.explode("best").alias("_e")).select(
         *group, "term", "_e.id",
         rounded(idf(F.col("n_docs"), F.col("df")) * -F.col("_e.less_tf")).alias("score"))
     best = W.partitionBy(*group).orderBy(F.desc("score"), "term", "id")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA
+from collections.abc import Callable
+
+from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import IDF, CountVectorizerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trendloom.operators.columns import compute_once
 from trendloom.operators.terms import doc_terms, term_stats
 from trendloom.session import work_dir
 
@@ -17,6 +20,8 @@ N_TOPICS = 10
 MAX_ITER = 100
 TERMS_PER_TOPIC = 5
 SEED = 17
+FOLD_INS = 20  # rounds of a document's fold-in
+CONCENTRATION = 0.1  # of the topics of a document, before it is read
 
 
 def fit_vocabulary(docs: DataFrame, tokens: str, vocab_size: int = VOCAB_SIZE,
@@ -54,10 +59,10 @@ def idf_weights(docs: DataFrame, doc_id: str, tokens: str, vocabulary: DataFrame
     return df.withColumn("idf", F.ln((m + 1) / (F.col("df") + 1)))
 
 
-def lda_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int = MAX_ITER,
+def fit_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int = MAX_ITER,
                vocab_size: int = VOCAB_SIZE, min_df: int = MIN_DF,
-               n_terms: int = TERMS_PER_TOPIC, seed: int = SEED) -> DataFrame:
-    """(topic, rank, term, weight) of an LDA over IDF-weighted counts.
+               seed: int = SEED) -> tuple[LDAModel, list[str]]:
+    """(model, vocabulary) of an LDA over IDF-weighted counts.
 
     The count vectors are written to the shared work folder: the fit passes over them
     once per iteration, and a lost executor re-reads them instead of cleaning again.
@@ -71,13 +76,93 @@ def lda_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int =
     counts = spark.read.parquet(path)
     features = IDF(inputCol="raw_features", outputCol="features").fit(counts).transform(counts)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="features")
-    described = lda.fit(features).describeTopics(maxTermsPerTopic=n_terms)
-    words = spark.createDataFrame(list(enumerate(model.vocabulary)), "term_index int, term string")
+    return lda.fit(features), model.vocabulary
+
+
+def lda_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int = MAX_ITER,
+               vocab_size: int = VOCAB_SIZE, min_df: int = MIN_DF,
+               n_terms: int = TERMS_PER_TOPIC, seed: int = SEED) -> DataFrame:
+    """(topic, rank, term, weight) of :func:`fit_topics`."""
+    model, vocabulary = fit_topics(docs, tokens, k, max_iter, vocab_size, min_df, seed)
+    words = docs.sparkSession.createDataFrame(list(enumerate(vocabulary)),
+                                              "term_index int, term string")
     return (
-        described.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights"))
-                         .alias("pos", "entry"))
+        model.describeTopics(maxTermsPerTopic=n_terms)
+        .select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights"))
+                .alias("pos", "entry"))
         .select("topic", (F.col("pos") + 1).alias("rank"),
                 F.col("entry.termIndices").alias("term_index"),
                 F.round("entry.termWeights", 4).alias("weight"))
         .join(words, "term_index").select("topic", "rank", "term", "weight")
     )
+
+
+def topic_matrix(model: LDAModel, vocabulary: list[str], spark: SparkSession) -> DataFrame:
+    """(term, weights): for each term of the vocabulary its probability in every topic."""
+    matrix = model.topicsMatrix().toArray()
+    matrix = matrix / matrix.sum(axis=0)
+    return spark.createDataFrame(list(zip(vocabulary, matrix.tolist())),
+                                 "term string, weights array<double>")
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def exp_digamma(x: Column) -> Column:
+    """exp of the digamma function for x > 0, by its asymptotic series at x + 6."""
+    steps = sum((1.0 / (x + i) for i in range(1, 6)), 1.0 / x)
+    z = x + 6.0
+    series = F.ln(z) - 1.0 / (2.0 * z) - 1.0 / (12.0 * z * z) + 1.0 / (120.0 * z * z * z * z)
+    return F.exp(series - steps)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return _sum(F.zip_with(a, b, lambda x, y: x * y))
+
+
+def fold_in(bag: DataFrame, doc_id: str, topics: DataFrame, rounds: int = FOLD_INS,
+            concentration: float = CONCENTRATION) -> DataFrame:
+    """(doc_id, shares): the topic mixture of every document under a fixed model, by variational
+    inference.
+
+    ``bag`` is (doc_id, term, n), ``topics`` is (term, weights), one row per term of the model's
+    vocabulary; other terms are left out, and a document without known terms is not in the
+    result. Terms get their weights in one join; a document's terms, as many as the vocabulary
+    has at most, are then in its row, and the rounds run there: each term is dealt to the topics
+    by its weight times exp(digamma(strength)), and a topic's strength is the concentration plus
+    what it was dealt.
+    """
+    known = bag.join(topics, "term").groupBy(doc_id).agg(F.collect_list(
+        F.struct(F.col("n").cast("double").alias("n"), "weights")).alias("_words"))
+    words = F.col("_words")
+    k = F.size(F.get(words, 0)["weights"])
+    total = _sum(F.transform(words, lambda w: w["n"]))
+    first = F.transform(F.sequence(F.lit(1), k), lambda _: concentration + total / k)
+
+    def dealt(strengths: Column) -> Column:
+        by_topic = F.transform(strengths, exp_digamma)
+        return _bound(by_topic, lambda e: F.transform(F.zip_with(e, F.aggregate(
+            words, F.transform(e, lambda _: F.lit(0.0)), lambda sums, w: _bound(
+                w["n"] / _dot(w["weights"], e),
+                lambda rate: F.zip_with(sums, w["weights"], lambda s, x: s + rate * x))),
+            lambda e_k, s: e_k * s), lambda d: d + concentration))
+
+    strengths = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, lambda s, _: dealt(s))
+    shares = F.transform("_s", lambda s: s / _sum(F.col("_s")))
+    return compute_once(known, _s=strengths).select(doc_id, shares.alias("shares"))
+
+
+def term_likelihood(bag: DataFrame, doc_id: str, topics: DataFrame, mixtures: DataFrame) -> DataFrame:
+    """(n_terms, log_likelihood) of documents under a model and their mixtures: the mean log
+    probability of a term. Of terms that were not folded in, it measures the model."""
+    rows = bag.join(topics, "term").join(mixtures, doc_id)
+    return rows.agg(
+        F.sum("n").alias("n_terms"),
+        (F.sum(F.col("n") * F.ln(_dot(F.col("weights"), F.col("shares")))) / F.sum("n")).alias(
+            "log_likelihood"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,40 @@ def lemma_counts(counts: DataFrame, lemmas: DataFrame) -> DataFrame:
     )
 
 
+# Endings of nouns and what they are detached to, in the order of trial.
+NOUN_RULES = {"s": "", "ses": "s", "ves": "f", "xes": "x", "zes": "z", "ches": "ch", "shes": "sh",
+              "men": "man", "ies": "y"}
+
+
+def rule_lemmas(words: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None,
+                word: str = "term", entry: str = "term",
+                rules: Mapping[str, str] = NOUN_RULES) -> DataFrame:
+    """(form, lemma) of the words that have another base form: a table for
+    :func:`lemmatize_tokens`.
+
+    Every rule whose ending a word has makes a candidate; candidates that the lexicon holds are
+    accepted, in a semi-join, and the shortest one is the lemma, the first rule's of equals. A
+    word that the lexicon holds itself competes with them and is longer. ``exceptions`` are
+    (form, lemma) rows that come before the rules. Words are taken once, however often they
+    come; NULLs have no lemma. Both tables may be of any size.
+    """
+    forms = words.select(F.col(word).alias("form")).where("form IS NOT NULL").distinct()
+    made = F.array_compact(F.array(*[
+        F.when(F.col("form").endswith(ending) & (F.length("form") > len(ending)), F.struct(
+            F.lit(i).alias("rule"), F.concat(F.substring(
+                "form", F.lit(1), F.length("form") - len(ending)), F.lit(new)).alias("lemma")))
+        for i, (ending, new) in enumerate(rules.items())]))
+    known = lexicon.select(F.col(entry).alias("lemma")).distinct()
+    lemmas = forms.select("form", F.inline(made)).join(known, "lemma", "left_semi").groupBy(
+        "form").agg(F.min_by("lemma", F.struct(F.length("lemma"), "rule")).alias("lemma"))
+    if exceptions is None:
+        return lemmas
+    given = exceptions.select("form", F.col("lemma").alias("_given")).dropDuplicates(["form"])
+    return forms.join(given, "form", "left").join(lemmas, "form", "left").select(
+        "form", F.coalesce("_given", "lemma").alias("lemma")).where(
+        F.col("lemma") != F.col("form"))
+
+
 def lemmatize_tokens(docs: DataFrame, doc_id: str, tokens: str, lemmas: DataFrame) -> DataFrame:
     """Replace the tokens of every document by their lemmas, keeping order.
 

@@ -28,6 +28,8 @@ def every(column: str, n: int, text: str) -> Column:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.repartition(parts, "doc_id")
     day = F.lpad((1 + F.floor(F.col("doc_id") / 7) % 30).cast("string"), 2, "0")
     return docs.withColumn("page_id", F.col("doc_id") % n_rows(pages)).join(
         pages.select("page_id", "url"), "page_id", "left"
@@ -67,8 +69,12 @@ def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
 
 def tweets(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    # The events are few bytes a row. Dealt out before texts are joined to them, they spread
+    # the work on the texts however few files they come from.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        events(spark, sf_dir, stream)
+        events(spark, sf_dir, stream).select("event_id", "ts", "user_id")
+        .repartition(parts, "event_id")
         .withColumn("doc_id", F.col("event_id") % n_rows(docs))
         .withColumn("page_id", F.col("event_id") % n_rows(pages))
         .join(docs.select("doc_id", "text", "lang", "source"), "doc_id", "left")

@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 
 from trendloom import dictionaries as d
 from trendloom.functions import dates, keywords, text, urls
-from trendloom.operators import joins, latest, rates, terms, topics, tweets, vocabulary
+from trendloom.operators import (
+    domains, joins, latest, phrases, rates, terms, topics, tweets, vocabulary,
+)
+from trendloom.operators.buckets import BucketStore
 from trendloom.operators.columns import compute_once
+from trendloom.operators.numbering import numbered
 from trendloom.plans import bindings as b
 from trendloom.plans import oracle as o
 from trendloom.schemas import (
-    FLAT_TWEET_COLUMNS, HASHTAG_COUNTS, OUTCOME_COUNTS, TWEETS, VALUE_COUNTS,
+    FLAT_TWEET_COLUMNS, HASHTAG_COUNTS, NEWS, OUTCOME_COUNTS, TWEETS, VALUE_COUNTS,
 )
 from trendloom.session import work_dir
 from trendloom.sources import readers, sinks
 from trendloom.streaming import jobs, metrics
+from trendloom.streaming.watermark import ClosedWindows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,6 +110,35 @@ def track_filter(spark, sf_dir):
         "id", "lang", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@query("""
+SELECT doc_id, row_number() OVER (ORDER BY "PublishedDate", doc_id) AS number,
+  row_number() OVER (PARTITION BY "PublishedDate" ORDER BY doc_id) - 1 AS position
+FROM cleaned_news""", o.NEWS, o.CLEANED_NEWS)
+def document_ids(spark, sf_dir):
+    """Numbers of the articles from 1 on, and positions from 0 on within their day."""
+    rows = cleaned_news(spark, sf_dir).select("doc_id", "PublishedDate")
+    placed = numbered(rows, ["PublishedDate", "doc_id"], "number")
+    return numbered(placed, ["doc_id"], "position", ["PublishedDate"], start=0).drop("PublishedDate")
+
+
+@query("""
+SELECT CASE WHEN doc_id % 13 = 0 OR doc_id % 17 = 0 THEN 'broken' ELSE 'good' END AS status,
+  CASE WHEN doc_id % 13 = 0 THEN '{"title": "Article ' || doc_id || '", "author'
+    WHEN doc_id % 17 = 0 THEN 'no JSON ' || doc_id ELSE title END AS content,
+  CASE WHEN doc_id % 13 <> 0 AND doc_id % 17 <> 0 THEN url END AS url FROM news""", o.NEWS)
+def broken_documents(spark, sf_dir):
+    """Stored articles, some lines cut off and some no JSON, as good rows and broken lines."""
+    path, key = work_dir(spark, "documents"), F.col("doc_id")
+    line = F.when(key % 13 == 0, F.concat(F.lit('{"title": "Article '), key, F.lit('", "author'))) \
+        .when(key % 17 == 0, F.concat(F.lit("no JSON "), key)).otherwise(
+        F.to_json(F.struct(*NEWS.names)))
+    b.news(spark, sf_dir).select(line).write.text(f"{path}/in")
+    good, broken = readers.quarantine(spark, f"{path}/in", NEWS, f"{path}/checked")
+    return good.select(F.lit("good").alias("status"), F.col("title").alias("content"), "url") \
+        .unionByName(broken.select(F.lit("broken").alias("status"),
+                                   F.col("_line").alias("content")), allowMissingColumns=True)
+
+
 # --- counts, shares, rankings --------------------------------------------------------
 
 @query("""
@@ -318,6 +352,15 @@ def url_join(spark, sf_dir):
                         F.length(content).cast("bigint").alias("n_chars"), "n_words")
 
 
+@query("SELECT t.id, n.doc_id, n.url FROM tweets t JOIN news n ON t.url = n.url", o.NEWS, o.TWEETS)
+def url_join_buckets(spark, sf_dir):
+    """The pairs of two saved tables that are bucketed by URL."""
+    names = [f"{side}_{uuid.uuid4().hex}" for side in ("tweets", "news")]
+    joins.save_for_join({names[0]: b.tweets(spark, sf_dir).select("id", "url"),
+                         names[1]: b.news(spark, sf_dir).select("doc_id", "url")}, "url", 16)
+    return joins.url_join_tables(spark, *names).select("id", "doc_id", "url")
+
+
 @query("""
 SELECT count(DISTINCT n.url) AS n_urls, count(*) AS n_rows
 FROM tweets t JOIN news n ON t.url = n.url""", o.NEWS, o.TWEETS)
@@ -499,6 +542,31 @@ def url_domain(spark, sf_dir):
         "page_id", "url", host.alias("domain"), urls.primary_domain(host).alias("primary_domain"))
 
 
+SUFFIX_RULES = ["com", "net", "org", "example.net", "*.example.org", "!spam-farm.example.org"]
+
+
+@query(f"""
+WITH hosts AS (SELECT page_id, url, {o.netloc('url')} AS host FROM pages),
+rules AS (
+  SELECT ltrim(rule, '!*.') AS name, CASE WHEN rule[1] = '!' THEN -1 WHEN rule[1] = '*' THEN 1
+    ELSE 0 END AS extra FROM (SELECT unnest({SUFFIX_RULES}) AS rule)),
+labels AS (
+  SELECT DISTINCT host, string_split(rtrim(lower(regexp_replace(regexp_replace(
+    host, '^.*@', ''), ':[0-9]*$', '')), '.'), '.') AS l FROM hosts),
+tails AS (
+  SELECT host, l, n, array_to_string(l[len(l) - n + 1:], '.') AS name
+  FROM (SELECT host, l, unnest(range(1, len(l) + 1)) AS n FROM labels)),
+best AS (
+  SELECT host, max_by(n + extra, (extra = -1, n + extra)) AS size
+  FROM tails JOIN rules USING (name) WHERE n + extra <= len(l) GROUP BY host)
+SELECT page_id, host AS domain, array_to_string(l[greatest(1, len(l) - coalesce(size, 1)):], '.')
+  AS primary_domain FROM hosts JOIN labels USING (host) LEFT JOIN best USING (host)""")
+def registrable_domains(spark, sf_dir):
+    pages = b.table(spark, sf_dir, "pages").select("page_id", urls.netloc(F.col("url")).alias("domain"))
+    rules = spark.createDataFrame([(rule,) for rule in SUFFIX_RULES], "rule string")
+    return domains.with_domain(pages, "domain", rules, ["page_id"], out="primary_domain")
+
+
 @query("""
 SELECT id, array_to_string(regexp_extract_all(text, '@(\\w+)', 1), ',') AS mention,
   nullif(regexp_extract(text, 'RT\\s@(\\w+):', 1), '') AS "twitter_RT" FROM tweets""", o.TWEETS)
@@ -524,6 +592,41 @@ def keyword_tags(spark, sf_dir):
                        F.size("topics").cast("bigint").alias("match_count"))
 
 
+TOPIC_ROWS = [(topic, word) for topic, words in d.TOPICS.items() for word in words]
+
+
+@query(f"""
+SELECT doc_id, array_to_string({o.topics('description')}, ',') AS matched_keywords FROM news""",
+       o.NEWS)
+def phrase_tags(spark, sf_dir):
+    """The topics of :func:`keyword_tags` out of a dictionary table."""
+    table = spark.createDataFrame(TOPIC_ROWS, "topic string, phrase string")
+    tagged = phrases.tagged_topics(b.news(spark, sf_dir), "doc_id", "description", table)
+    return tagged.select("doc_id", keywords.keyword_string(F.col("topics")).alias("matched_keywords"))
+
+
+OPENING = 40  # characters of a benchmark item that count as a phrase
+
+
+@query(f"""
+SELECT doc_id, item_id FROM documents JOIN benchmark b
+  ON contains(documents.text, substr(b.text, 1, {OPENING}))
+UNION ALL
+SELECT doc_id, -1 FROM documents
+WHERE {' OR '.join(f'contains(lower(text), lower({o.lit(word)}))' for word in d.TRACK)}""")
+def dictionary_matches(spark, sf_dir):
+    """Documents that hold the opening of a benchmark item, and (item -1) tracked phrases in any
+    case, by phrase tables made of the data."""
+    docs = b.table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = b.table(spark, sf_dir, "benchmark").select(
+        "item_id", F.substring("text", 1, OPENING).alias("phrase"))
+    tracked = spark.createDataFrame([(word.lower(),) for word in d.TRACK], "phrase string")
+    lowered = docs.select("doc_id", F.lower("text").alias("text"))
+    found = phrases.phrase_matches(docs, "doc_id", "text", items).select("doc_id", "item_id")
+    return found.unionByName(phrases.phrase_matches(lowered, "doc_id", "text", tracked).select(
+        "doc_id").distinct().withColumn("item_id", F.lit(-1).cast("bigint")))
+
+
 @query(f"SELECT id, unnest({o.hits('text')}) AS topic FROM tweets", o.TWEETS)
 def hashtag_filter(spark, sf_dir):
     return b.tweets(spark, sf_dir).select(
@@ -640,6 +743,42 @@ def lemma_join(spark, sf_dir):
     return vocabulary.lemma_counts(counts, b.lemmas(counts))
 
 
+IRREGULAR = [("children", "child"), ("feet", "foot"), ("mice", "mouse"), ("people", "person")]
+RULE_LEMMAS = f"""
+rule_lemmas AS (
+  SELECT form, lemma FROM (
+    SELECT term AS form, coalesce(any_value(given), min_by(lemma, (length(lemma), rule))) AS lemma
+    FROM a_counts LEFT JOIN (VALUES {', '.join(f"('{a}', '{z}')" for a, z in IRREGULAR)})
+        e(form, given) ON form = term
+      LEFT JOIN (
+        SELECT w.term AS word, rule, k.term AS lemma
+        FROM a_counts w JOIN (VALUES {', '.join(f"({i}, '{a}', '{z}')" for i, (a, z) in enumerate(
+            vocabulary.NOUN_RULES.items()))}) r(rule, ending, new) ON ends_with(w.term, ending)
+          JOIN a_counts k ON k.term = w.term[:-length(ending) - 1] || new
+        WHERE length(w.term) > length(ending)) ON word = term
+    GROUP BY term)
+  WHERE lemma <> form
+)"""
+
+
+def _rule_lemmas(spark, sf_dir) -> DataFrame:
+    counts = _a_counts(spark, sf_dir)
+    return vocabulary.rule_lemmas(
+        counts, counts, spark.createDataFrame(IRREGULAR, "form string, lemma string"))
+
+
+@query("SELECT form, lemma FROM rule_lemmas", o.NEWS, A_TERMS, RULE_LEMMAS)
+def lemma_rules(spark, sf_dir):
+    return _rule_lemmas(spark, sf_dir)
+
+
+@query("""
+SELECT coalesce(lemma, term) AS lemma, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_forms
+FROM a_counts LEFT JOIN rule_lemmas ON form = term GROUP BY 1""", o.NEWS, A_TERMS, RULE_LEMMAS)
+def rule_lemma_counts(spark, sf_dir):
+    return vocabulary.lemma_counts(_a_counts(spark, sf_dir), _rule_lemmas(spark, sf_dir))
+
+
 C_WORDS = f"""
 c_words AS (
   SELECT doc_id, unnest(tokens) AS form, generate_subscripts(tokens, 1) AS pos
@@ -913,14 +1052,11 @@ def idf_weights(spark, sf_dir):
     return weights.withColumn("idf", share("idf"))
 
 
-@query("""
-SELECT CAST(topic AS INTEGER) AS topic, CAST(rank AS INTEGER) AS rank, true AS known,
-  true AS falling
-FROM range(10) t(topic) CROSS JOIN range(1, 6) r(rank)""")
+@query()
 def lda_topic_ranks(spark, sf_dir):
     """What holds of any fit: ten topics of five ranked terms, weights falling, terms known."""
     docs = _news_tokens_c(spark, sf_dir)
-    fit = topics.lda_topics(docs, "words_desc", max_iter=5)
+    fit = topics.lda_topics(docs, "words_desc")
     words = topics.fit_vocabulary(docs, "words_desc").select("term", F.lit(True).alias("in_it"))
     by_rank = Window.partitionBy("topic").orderBy("rank")
     falling = F.coalesce(F.lag("weight").over(by_rank) >= F.col("weight"), F.lit(True))
@@ -933,6 +1069,69 @@ def lda_topics(spark, sf_dir):
     return topics.lda_topics(_news_tokens_c(spark, sf_dir), "words_desc")
 
 
+N_RULED, RULED_ROUNDS = 4, 6  # topics of a model made by a rule, rounds of its fold-in
+
+
+def _ruled_model(vocabulary: DataFrame) -> DataFrame:
+    """(term, weights) of topics that prefer terms by the number of the term."""
+    raw = [1 + F.col("term_index") * (topic + 3) % 7 for topic in range(N_RULED)]
+    return vocabulary.select("term", F.array(*[
+        x / vocabulary.agg(F.sum(x)).scalar() for x in raw]).alias("weights"))
+
+
+def _exp_digamma(x: str) -> str:
+    z = f"({x} + 6)"
+    steps = " + ".join(f"1 / ({x} + {i})" for i in range(6))
+    return f"exp(ln({z}) - 1/(2*{z}) - 1/(12*{z}^2) + 1/(120*{z}^4) - ({steps}))"
+
+
+RULED = f"""
+beta AS MATERIALIZED (
+  SELECT term, topic, (1 + term_index * (topic + 3) % 7)
+    / sum(1 + term_index * (topic + 3) % 7) OVER (PARTITION BY topic) AS weight
+  FROM vocabulary, range({N_RULED}) t(topic)),
+bag AS MATERIALIZED (SELECT doc_id, term, n FROM c_terms WHERE term IN (SELECT term FROM vocabulary)),
+g0 AS (
+  SELECT doc_id, topic, {topics.CONCENTRATION} + sum(n) / {N_RULED} AS g
+  FROM bag, range({N_RULED}) t(topic) GROUP BY ALL),
+""" + ",\n".join(f"""
+x{i} AS (SELECT doc_id, topic, n, term, weight * {_exp_digamma('g')} AS x
+  FROM bag JOIN beta USING (term) JOIN g{i - 1} USING (doc_id, topic)),
+g{i} AS MATERIALIZED (SELECT doc_id, topic, {topics.CONCENTRATION} + sum(n * x / total) AS g
+  FROM (SELECT *, sum(x) OVER (PARTITION BY doc_id, term) AS total FROM x{i})
+  GROUP BY doc_id, topic)""" for i in range(1, RULED_ROUNDS + 1)) + f""",
+mixtures AS (SELECT doc_id, topic, g / sum(g) OVER (PARTITION BY doc_id) AS share
+  FROM g{RULED_ROUNDS})"""
+
+
+def _folded(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(bag, model, mixtures) of the articles under the model made by a rule."""
+    docs = _news_tokens_c(spark, sf_dir)
+    vocabulary = topics.fit_vocabulary(docs, "words_desc")
+    bag = topics.bag_of_words(docs, "doc_id", "words_desc", vocabulary).drop("term_index")
+    model = _ruled_model(vocabulary)
+    return bag, model, topics.fold_in(bag, "doc_id", model, RULED_ROUNDS)
+
+
+@query("SELECT doc_id, CAST(topic AS INTEGER) AS topic, round(share, 6) AS share FROM mixtures",
+       o.NEWS, C_DOCS, RULED)
+def lda_fold_in(spark, sf_dir):
+    _, _, mixtures = _folded(spark, sf_dir)
+    return mixtures.select("doc_id", F.posexplode("shares").alias("topic", "share")).withColumn(
+        "share", F.round("share", 6))
+
+
+@query("""
+SELECT CAST(sum(n) AS BIGINT) AS n_terms, round(sum(n * ln(p)) / sum(n), 6) AS log_likelihood
+FROM (SELECT doc_id, term, any_value(n) AS n, sum(weight * share) AS p
+  FROM bag JOIN beta USING (term) JOIN mixtures USING (doc_id, topic) GROUP BY doc_id, term)""",
+       o.NEWS, C_DOCS, RULED)
+def lda_likelihood(spark, sf_dir):
+    bag, model, mixtures = _folded(spark, sf_dir)
+    return topics.term_likelihood(bag, "doc_id", model, mixtures).withColumn(
+        "log_likelihood", F.round("log_likelihood", 6))
+
+
 # --- streaming -----------------------------------------------------------------------
 
 METRIC_ROWS = """
@@ -989,6 +1188,60 @@ def sliding_counts(spark, sf_dir):
     return terms.with_window_bounds(filled, ETL_W)
 
 
+DELAY = 3600  # seconds that rows may come after later ones
+DELIVERIES = 4
+
+# Late rows are those of which every window had closed before their delivery.
+DELIVERED = f"""
+delivered AS (
+  SELECT event_type, {o.seconds('ts')} AS s, least({DELIVERIES - 1},
+    day(ts) // 8 + CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END) AS delivery FROM events
+),
+limits AS (
+  SELECT delivery, max(max(s)) OVER (
+    ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {DELAY} AS closed
+  FROM delivered GROUP BY delivery
+),
+placed AS (
+  SELECT event_type, s // {ETL_S} * {ETL_S} AS slide, coalesce(closed, -1) AS closed
+  FROM delivered JOIN limits USING (delivery)
+)"""
+
+
+def delivered_events(spark, sf_dir, number: int) -> DataFrame:
+    """Part of the events, in the order of days; every fiftieth comes two parts late."""
+    late = F.when(F.col("event_id") % 50 == 0, 2).otherwise(0)
+    part = F.least(F.lit(DELIVERIES - 1), F.floor(F.dayofmonth("ts") / 8).cast("int") + late)
+    return b.events(spark, sf_dir).where(part == number).select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+
+
+@query(f"""
+SELECT 'window' AS scope, {o.bounds(ETL_W)}, event_type, count(*) AS n
+FROM (SELECT event_type, closed, {_starts(ETL_W, ETL_S)} AS window_start FROM placed)
+WHERE window_start + {ETL_W} > closed
+  AND window_start + {ETL_W} <= (SELECT max(s) - {DELAY} FROM delivered)
+GROUP BY window_start, event_type
+UNION ALL
+SELECT 'late', make_timestamp(slide * 1000000), make_timestamp((slide + {ETL_S}) * 1000000),
+  event_type, count(*) FROM placed WHERE slide + {ETL_W} <= closed GROUP BY slide, event_type""",
+       DELIVERED)
+def stream_closed_windows(spark, sf_dir):
+    """Windows emitted once and late rows, over deliveries with a restart at each."""
+    path = work_dir(spark, "closed")
+    schema = delivered_events(spark, sf_dir, 0).schema
+    table = ClosedWindows(spark, f"{path}/table", schema, "ts", ETL_W, ETL_S, DELAY, ["event_type"])
+    for number in range(DELIVERIES):
+        delivered_events(spark, sf_dir, number).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{path}/in")
+        jobs.run(table.start(stream, f"{path}/checkpoint"))
+    late = terms.with_window_bounds(
+        table.late_counts().withColumnRenamed("slide", "window_start"), ETL_S)
+    columns = ["scope", "window_start", "window_end", "event_type", "n"]
+    return table.windows().withColumn("scope", F.lit("window")).select(*columns).unionByName(
+        late.withColumn("scope", F.lit("late")).select(*columns))
+
+
 VALUES = """
 values_seen AS (
   SELECT ts, 'keyword' AS kind, unnest(words) AS value FROM routed WHERE route = 'matched'
@@ -1020,11 +1273,11 @@ def stream_keyword_counts(spark, sf_dir):
         "position", F.row_number().over(place))
 
 
-def _etl(spark, sf_dir) -> tuple[latest.UpsertStore, str]:
+def _etl(spark, sf_dir, kind=latest.UpsertStore, **more) -> tuple[latest.UpsertStore, str]:
     path = work_dir(spark, "etl")
     processed = tweets.process_tweets(b.messages(spark, sf_dir, stream=True))
     schema = tweets.flatten_tweets(processed, "timestamp").schema
-    store = latest.UpsertStore(spark, f"{path}/store", schema, ["id"], ["timestamp"])
+    store = kind(spark, f"{path}/store", schema, ["id"], ["timestamp"], **more)
     jobs.run(jobs.etl(processed, store, jobs.write_to(f"{path}/topics"), f"{path}/checkpoint"))
     return store, f"{path}/topics"
 
@@ -1037,6 +1290,15 @@ def stream_upsert(spark, sf_dir):
     return store.read().select(*FLAT_TWEET_COLUMNS)
 
 
+@query(f"""
+SELECT {', '.join(f'"{c}"' for c in FLAT_TWEET_COLUMNS)} FROM flat""",
+       o.TWEETS, o.PROCESSED, o.FLAT)
+def stream_upsert_buckets(spark, sf_dir):
+    """The upserts by key buckets, the snapshot written after the first batch."""
+    store, _ = _etl(spark, sf_dir, BucketStore, buckets=16, every=1)
+    return store.read().select(*FLAT_TWEET_COLUMNS)
+
+
 TOPIC_SQL = " ".join(f"WHEN {o.lit(r)} THEN {o.lit(d.ROUTE_TOPICS[r])}"
                      for r in ("matched", "not_matched", "error"))
 

@@ -54,3 +54,4 @@ PAIR_REPORT = struct(window_start=NTZ, window_end=NTZ, topic=S, rank=I, term=S,
 OUTCOME_COUNTS = struct(slide=L, inbound=L, matched=L, cleaned=L, not_matched=L, errored=L)
 VALUE_COUNTS = struct(slide=L, kind=S, value=S, n=L)
 HASHTAG_COUNTS = struct(slide=L, metric=S, hashtag=S, n=L)
+MARK = struct(limit=L, latest=L)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from trendloom import schemas
 from trendloom.functions.keywords import is_tracked
+from trendloom.operators.columns import compute_once
 
 
 def scan_news(spark: SparkSession, path: str) -> DataFrame:
@@ -20,6 +22,34 @@ def scan_tweets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.TWEETS).json(path)
 
 
+def checked_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Stored JSON lines with what is wrong with them: the columns of ``schema``, ``_broken``,
+    and for a broken line ``_line`` and ``_file``. A line is broken if it is no JSON object or
+    if a field does not fit the schema; its columns are NULL then. Blank lines are skipped."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    full = StructType([*schema.fields, StructField(schemas.CORRUPT, StringType())])
+    lines = spark.read.text(path).where("trim(value) <> ''").select(
+        "value", F.col("_metadata.file_path").alias("_file"))
+    rows = compute_once(lines, _row=F.from_json("value", full, options))
+    row = F.col("_row")
+    broken = row.isNull() | row[schemas.CORRUPT].isNotNull()
+    return rows.select(
+        *[F.when(~broken, row[name]).alias(name) for name in schema.names],
+        broken.alias("_broken"), F.when(broken, F.col("value")).alias("_line"),
+        F.when(broken, F.col("_file")).alias("_file"))
+
+
+def quarantine(spark: SparkSession, path: str, schema: StructType,
+               out: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, broken lines) of stored JSON lines, both kept below ``out``. Every line is
+    decoded once; the two tables are partitions of one, so reading one does not scan the other."""
+    checked = checked_documents(spark, path, schema)
+    checked.write.mode("overwrite").partitionBy("_broken").parquet(out)
+    kept = spark.read.schema(checked.schema).parquet(out)
+    return (kept.where("NOT _broken").select(*schema.names),
+            kept.where("_broken").select("_line", "_file"))
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
