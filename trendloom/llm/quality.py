@@ -16,7 +16,6 @@ from trendloom.llm.hashing import (
 
 BITS = 18  # 2^BITS weights
 SAMPLE = 8192  # training texts at most, half of them per class
-SAMPLE_FEATURES = 4096  # n-grams kept of one training text, evenly spaced
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 1.0
 THRESHOLD = 0.3
@@ -74,16 +73,16 @@ def margins(indices: np.ndarray, bounds: np.ndarray, weights: np.ndarray) -> np.
     return np.diff(sums) / np.sqrt(np.maximum(lengths, 1)) + weights[-1]
 
 
-def train_ftrl(examples: Iterable[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS,
+def train_ftrl(examples: Iterable[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS,
                alpha: float = ALPHA, beta: float = BETA, l1: float = L1,
                l2: float = L2) -> np.ndarray:
-    """Weights (bias last) after ``epochs`` passes of FTRL-proximal over (indices, label).
+    """Weights (bias last) after ``epochs`` passes of FTRL-proximal over (distinct indices, their
+    counts, label).
     Texts of one class only give its smoothed share as bias; no texts give zeros."""
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     prepared = []
-    for indices, label in examples:
-        at, counts = np.unique(indices, return_counts=True)
-        values = np.append(counts / np.sqrt(max(1, len(indices))), 1.0)
+    for at, counts, label in examples:
+        values = np.append(counts / np.sqrt(max(1, counts.sum())), 1.0)
         prepared.append((np.append(at, 1 << bits).astype(np.int32), values.astype(np.float32),
                          label))
 
@@ -122,27 +121,28 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         size: int = SAMPLE, bits: int = BITS) -> np.ndarray:
     """Learn weights from a bounded sample of the labelled texts. Rows without a key, with
     a label other than 0 or 1, or in the held-out fold teach nothing. A key whose labels
-    differ counts once with each; texts of a repeated key all count, to ``size`` in all."""
+    differ counts once with each; texts of a repeated key all count, to ``size`` in all. Whole
+    texts are learnt from: each is at most 2^bits indices with their counts, however long."""
     def indices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            rows = []
+            rows, counts = [], []
             for _, _, part, inner in slabs(data, offsets):
                 found, bounds = features(part, inner, bits)
                 for lo, hi in zip(bounds[:-1], bounds[1:]):
-                    step = max(1, -(-(hi - lo) // SAMPLE_FEATURES))
-                    step += step % 5 == 0 and step > 1  # kinds alternate in steps of five
-                    rows.append(found[lo:hi:step].astype(np.int32).tobytes())
+                    at, n = np.unique(found[lo:hi], return_counts=True)
+                    rows.append(at.astype(np.int32).tobytes())
+                    counts.append(n.astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(rows, pa.binary())],
-                names=["key", "label", "indices"])
+                [batch.column(0), batch.column(2), pa.array(rows, pa.binary()),
+                 pa.array(counts, pa.binary())], names=["key", "label", "indices", "counts"])
 
     rows = sample(docs, labels, key, text, label, folds, held_out, size).mapInArrow(
-        indices, "key long, label int, indices binary")
-    rows = rows.orderBy(F.xxhash64("key", F.lit(1)), "key", "label", "indices").limit(size)
-    # Bytes, not lists of numbers: the driver holds 4 bytes a feature.
-    return train_ftrl(((np.frombuffer(r["indices"], np.int32), r["label"])
-                       for r in rows.toLocalIterator()), bits)
+        indices, "key long, label int, indices binary, counts binary")
+    rows = rows.orderBy(F.xxhash64("key", F.lit(1)), "key", "label", "indices", "counts").limit(size)
+    # Bytes, not lists of numbers: the driver holds 8 bytes for each distinct feature of a text.
+    return train_ftrl(((np.frombuffer(r["indices"], np.int32), np.frombuffer(r["counts"], np.int32),
+                        r["label"]) for r in rows.toLocalIterator()), bits)
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", threshold: float = THRESHOLD,
