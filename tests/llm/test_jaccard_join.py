@@ -73,6 +73,16 @@ def test_odd_rows(spark):
     assert found(got) == want and jj.keep_one(docs, got).count() == classes
 
 
+def test_clashing_columns(spark):
+    names = ("node", "gid", "n", "component", "row_key", "_row", "_row_key", "token", "prefix")
+    docs = documents(spark, odd_documents()).withColumns({c: F.lit("x") for c in names})
+    want, classes = brute_force(odd_documents())
+    got = jj.jaccard_classes(docs)
+    assert found(got) == want
+    one = jj.keep_one(docs, got)
+    assert one.columns == docs.columns and one.count() == classes
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     got = jj.jaccard_classes(docs)

@@ -239,7 +239,8 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     itself included. ``row_key`` is xxhash64 of the text, to find the row again. Documents
     with equal sets are linked. A text without words, or NULL, has no shingles and is linked
     with nothing: its component is its own key. NULL keys take part but never name a class
-    that has another key. Repeated rows are rows of their own. Other columns are not read.
+    that has another key. Repeated rows are rows of their own. Texts of any length are compared
+    whole. An empty table gives no rows. Other columns are not read, whatever their names.
     """
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"),
@@ -327,8 +328,8 @@ def keep_one(docs: DataFrame, classes: DataFrame, key: str = "doc_id",
              text: str = "text") -> DataFrame:
     """One row of every class of :func:`jaccard_classes`, with all columns of ``docs``: of the
     rows with the class's smallest key, the one with the smallest row key; a class whose keys
-    are all NULL likewise. All rows without words stay, repeated ones too. Columns of ``docs``
-    may have any names."""
+    are all NULL likewise. All rows without words stay, repeated ones too. An empty table
+    gives no rows. Columns of ``docs`` may have any names."""
     firsts = classes.where(F.col("component").isNotNull()
                            & F.col("doc_id").eqNullSafe(F.col("component_id")))
     firsts = firsts.groupBy("component", "row_key").agg(F.count("*").alias("_copies")).groupBy(
