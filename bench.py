@@ -1,7 +1,7 @@
 """Time the registered queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; one JSON line.
 
-Each query runs to completion into the no-op sink, so that nothing but the query counts. The
-line is written to stderr after every query, so that a run that is stopped leaves its figures.
+Each query runs to completion into the no-op sink, so that nothing but the query counts. A run
+that is stopped prints the line with what it has; the figures so far also go to stderr.
 BENCH_QUERIES may name some queries, separated by commas.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import signal
 import sys
 import time
 
@@ -30,13 +31,16 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     QUERIES["top3_sources_by_day"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
-    for name in names:
-        start = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - start, 3)
-        print(report(times, sf_dir), file=sys.stderr, flush=True)
+    signal.signal(signal.SIGTERM, lambda *_: sys.exit("stopped"))
+    try:
+        for name in names:
+            start = time.time()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - start, 3)
+            print(name, times[name], file=sys.stderr, flush=True)
+    finally:
+        print(report(times, sf_dir), flush=True)
     spark.stop()
-    print(report(times, sf_dir))
 
 
 def report(times: dict[str, float], sf_dir: str) -> str:
