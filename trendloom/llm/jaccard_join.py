@@ -246,8 +246,7 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     docs = docs.select(F.col(key).cast("long").alias("doc_id"),
                        F.xxhash64(F.col(key).cast("long"), F.col(text).cast("string")).alias("row_key"),
                        F.col(text).cast("string").alias("text"))
-    levels = _order(docs.select("text"), size)
-    sets = stored(_sets(docs, levels, size, percent), "jaccard-sets")
+    sets = stored(_sets(docs, _order(docs.select("text"), size), size, percent), "jaccard-sets")
     members = stored(sets.where(F.col("n") > 0).groupBy("node").agg(
         F.first("gid").alias("gid"), F.first("n").cast("int").alias("n"),
         F.first("signature").alias("signature")), "jaccard-members")

@@ -80,11 +80,14 @@ def train_ftrl(examples: Iterable[tuple[np.ndarray, np.ndarray, int]], bits: int
     counts, label).
     Texts of one class only give its smoothed share as bias; no texts give zeros."""
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
-    prepared = []
+    # All texts lie in two buffers: small arrays would leave the driver's memory in pieces.
+    packed, values, ends, targets = bytearray(), bytearray(), [0], []
     for at, counts, label in examples:
-        values = np.append(counts / np.sqrt(max(1, counts.sum())), 1.0)
-        prepared.append((np.append(at, 1 << bits).astype(np.int32), values.astype(np.float32),
-                         label))
+        packed += np.append(at, 1 << bits).astype(np.int32).tobytes()
+        values += np.append(counts / np.sqrt(max(1, counts.sum())), 1.0).astype(np.float32).tobytes()
+        ends.append(len(packed) // 4)
+        targets.append(label)
+    indices, xs = np.frombuffer(packed, np.int32), np.frombuffer(values, np.float32)
 
     def weight(at):
         zi = z[at]
@@ -92,7 +95,8 @@ def train_ftrl(examples: Iterable[tuple[np.ndarray, np.ndarray, int]], bits: int
         return np.where(np.abs(zi) <= l1, 0.0, w)
 
     for _ in range(epochs):
-        for at, x, label in prepared:
+        for lo, hi, label in zip(ends, ends[1:], targets):
+            at, x = indices[lo:hi], xs[lo:hi]
             w = weight(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -30, 30)))
             g = (p - label) * x
