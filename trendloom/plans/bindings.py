@@ -29,11 +29,13 @@ def every(column: str, n: int, text: str) -> Column:
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Links are found for the ids alone, so that texts move once.
+    links = docs.select("doc_id").distinct().withColumn(
+        "page_id", F.col("doc_id") % n_rows(pages)).join(
+        pages.select("page_id", "url"), "page_id", "left").select("doc_id", "url")
     docs = docs.repartition(parts, "doc_id")
     day = F.lpad((1 + F.floor(F.col("doc_id") / 7) % 30).cast("string"), 2, "0")
-    return docs.withColumn("page_id", F.col("doc_id") % n_rows(pages)).join(
-        pages.select("page_id", "url"), "page_id", "left"
-    ).select(
+    return docs.join(links, "doc_id", "left").select(
         "doc_id",
         F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("author"), F.col("doc_id") % 97))
         .alias("author"),
@@ -69,16 +71,16 @@ def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
 
 def tweets(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
-    # The events are few bytes a row. Dealt out before texts are joined to them, they spread
-    # the work on the texts however few files they come from.
+    # The events are few bytes a row. They get their links first and are dealt out before texts
+    # are joined to them: rows with texts do not move again, and however few files the events
+    # come from, the work on the texts is spread.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (
         events(spark, sf_dir, stream).select("event_id", "ts", "user_id")
-        .repartition(parts, "event_id")
         .withColumn("doc_id", F.col("event_id") % n_rows(docs))
         .withColumn("page_id", F.col("event_id") % n_rows(pages))
+        .join(pages.select("page_id", "url"), "page_id", "left").repartition(parts, "doc_id")
         .join(docs.select("doc_id", "text", "lang", "source"), "doc_id", "left")
-        .join(pages.select("page_id", "url"), "page_id", "left")
     )
     text = F.concat(
         every("event_id", 5, "RT @user7: "), "text", every("event_id", 3, " #bigdata"),
