@@ -7,10 +7,15 @@ n-grams meet that index in a join, and only the phrases they fetch are searched
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from trendloom.operators.joins import ROWS_PER_TASK, skew_join, small_or_not
+from trendloom.operators.joins import ROWS_PER_TASK, skew_join
 from trendloom.session import work_dir
 
 GRAM = 4  # characters of an n-gram; shorter phrases are n-grams themselves
@@ -33,6 +38,54 @@ def _sized_grams(text: Column, sizes: list[int]) -> Column:
     return F.concat(*[F.coalesce(grams(text, size), none) for size in sizes])
 
 
+def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` neighbouring characters, good in its high bits."""
+    out = np.zeros(len(codes) - size + 1, np.uint64)
+    for i in range(size):
+        out = (out ^ codes[i:len(codes) - size + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+    return out
+
+
+def known_grams(texts: DataFrame, text: str, wanted: DataFrame, sizes: list[int],
+                *keep: str) -> DataFrame:
+    """(keep..., _grams): the distinct n-grams of each text that ``wanted(gram)``, INDEX_ROWS at
+    most, holds. Tasks hold ``wanted`` as sets behind tables of hashes, so no n-gram outside of
+    it becomes a row or even a string."""
+    rows = texts.select(*keep, F.col(text).cast("binary").alias("_bytes"))
+    schema = StructType([*rows.schema.fields[:-1], StructField("_grams", ArrayType(StringType()))])
+    grams_by_size: dict[int, set[str]] = {n: set() for n in sizes}
+    for row in wanted.select("gram").distinct().collect():
+        grams_by_size.setdefault(len(row[0]), set()).add(row[0])
+    held = texts.sparkSession.sparkContext.broadcast(grams_by_size)
+
+    def found(body: bytes | None, tables: dict[int, tuple[set[str], int, np.ndarray]]) -> list[str]:
+        chars = (body or b"").decode("utf-8", "surrogateescape")
+        codes = np.frombuffer(chars.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        out: set[str] = set()
+        for n, (own, shift, table) in tables.items():
+            if len(codes) >= n:
+                maybe = np.flatnonzero(table[_hashes(codes, n) >> np.uint64(shift)])
+                out |= own.intersection([chars[at:at + n] for at in maybe.tolist()])
+        return list(out)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = {}
+        for n, own in held.value.items():
+            shift = 64 - max(16, len(own).bit_length() + 4)
+            table = np.zeros(1 << (64 - shift), bool)
+            for gram in own:
+                codes = np.frombuffer(gram.encode("utf-32-le"), "<u4").astype(np.uint64)
+                table[_hashes(codes, n) >> np.uint64(shift)] = True
+            tables[n] = own, shift, table
+        for batch in batches:
+            grams_of = [found(body.as_py(), tables) for body in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(grams_of, pa.list_(pa.string()))],
+                names=schema.names)
+
+    return rows.mapInArrow(made, schema)
+
+
 def phrase_index(texts: DataFrame, text: str, phrases: DataFrame, phrase: str = "phrase",
                  gram: int = GRAM) -> DataFrame:
     """(gram, phrase): every distinct phrase under its rarest n-gram in ``texts``.
@@ -49,9 +102,13 @@ def phrase_index(texts: DataFrame, text: str, phrases: DataFrame, phrase: str =
     sizes = _sizes(known, gram)
     if not sizes:
         return pairs.select("gram", "phrase")
-    wanted = small_or_not(pairs.select("gram").distinct(), INDEX_ROWS)
-    counts = texts.select(F.explode_outer(_sized_grams(F.col(text), sizes)).alias("gram")).join(
-        wanted, "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("_texts"))
+    wanted = pairs.select("gram").distinct()
+    if wanted.limit(INDEX_ROWS + 1).count() <= INDEX_ROWS:
+        found = known_grams(texts, text, wanted, sizes).select(F.explode("_grams").alias("gram"))
+    else:
+        found = texts.select(F.explode_outer(_sized_grams(F.col(text), sizes)).alias("gram")).join(
+            wanted, "gram", "left_semi")
+    counts = found.groupBy("gram").agg(F.count("*").alias("_texts"))
     ranked = pairs.join(counts, "gram", "left")
     rarest = F.min_by("gram", F.struct(F.coalesce("_texts", F.lit(0)), "gram"))
     return ranked.groupBy("phrase").agg(rarest.alias("gram")).select("gram", "phrase")
@@ -84,8 +141,8 @@ def phrase_matches(texts: DataFrame, key: str, text: str, phrases: DataFrame,
     if not sizes:
         found = own.select("_key", F.lit(None).cast("string").alias("_phrase")).where("false")
     elif index.limit(INDEX_ROWS + 1).count() <= INDEX_ROWS:
-        candidates = own.select("_key", "_text", F.explode_outer(_sized_grams(
-            F.col("_text"), sizes)).alias("gram")).join(F.broadcast(index), "gram")
+        candidates = known_grams(own, "_text", index, sizes, "_key", "_text").select(
+            "_key", "_text", F.explode("_grams").alias("gram")).join(F.broadcast(index), "gram")
         found = candidates.where(F.col("_text").contains(F.col("phrase"))).select(
             "_key", F.col("phrase").alias("_phrase"))
     else:
