@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trendloom.dictionaries import CHART_TOPICS
+from trendloom.operators.joins import small_or_not
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
@@ -140,12 +143,21 @@ def first_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(ranked)).where("_n = 1").drop("_n")
 
 
+def first_rows(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """:func:`first_per_key` of wide rows: the first ones are found by key and order alone, and
+    only rows that have these move whole."""
+    first = small_or_not(first_per_key(df.select(key, *dict.fromkeys(order)), key,
+                                       *[F.col(c) for c in order]))
+    names = list(dict.fromkeys([key, *order]))
+    first = first.select(*[F.col(c).alias(f"_first_{c}") for c in names])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in names])
+    return first_per_key(df.join(first, same, "left_semi"), key, *[F.col(c) for c in order])
+
+
 def shared_news(tweets: DataFrame, news: DataFrame, tweet_order: Sequence[str],
                 news_order: Sequence[str]) -> DataFrame:
     """One (tweet, article) row per URL both feeds have: the first tweet with the first
     article. Both sides are cut to one row per URL before they meet."""
-    left = first_per_key(tweets.where(F.col("url").isNotNull()), "url",
-                         *[F.col(c) for c in tweet_order])
-    right = first_per_key(news.where(F.col("url").isNotNull()), "url",
-                          *[F.col(c) for c in news_order])
+    left = first_rows(tweets.where(F.col("url").isNotNull()), "url", tweet_order)
+    right = first_rows(news.where(F.col("url").isNotNull()), "url", news_order)
     return left.join(right, "url")
