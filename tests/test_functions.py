@@ -3,9 +3,10 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from trendloom import dictionaries as d
-from trendloom.functions import dates, keywords, text, urls
+from trendloom.functions import dates, keywords, stem as stem_module, text, urls
 from trendloom.functions.stem import stem_tokens, stem_word
 
 
@@ -133,3 +134,38 @@ def test_stems_keep_nulls_and_order(spark):
     out = spark.createDataFrame(rows, "id int, t array<string>").coalesce(1).select(
         "id", stem_tokens(F.col("t")).alias("t")).orderBy("id").collect()
     assert [row["t"] for row in out] == [["poni", "cat"], None, [], ["cat", None]]
+
+
+ODD_TEXTS = [
+    None, "", " ", "RT @bob caf\\xc3\\xa9\\nÉté don’t b'quoted' HTTP://x https", "MACHİNE LEARNİNG ﬁne İstanbul",
+    "Kelvin\tBig\x0bData flies and　dies\x1cTHE,the,, u\\u00e9 nlp ai ML dl",
+    "yellowing yes generalizations agreed hopping falling filing controlling flies dying", "x" * 50_000,
+    "computer vision … natural\nlanguage processing rt http @at @", "ﬀﬁ 日本語 ß ẞ Σας ΣΑΣ",
+]
+
+
+def test_cleaners_equal_their_steps(spark):
+    """The cleaners take distinct words of a batch once; that changes no text's tokens."""
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS * 2)], "id int, t string")
+    words = list(d.PHRASES.values())
+    t = F.col("t")
+    for whole, steps in (
+            (text.clean_tokens_b(t), text.finish_tokens_b(stem_tokens(text.raw_tokens_b(t)))),
+            (text.clean_tokens_b(t, words), text.finish_tokens_b(
+                stem_tokens(text.raw_tokens_b(t), words))),
+            (text.clean_tokens_c(t), text.finish_tokens_c(text.raw_tokens_c(t))),
+            (text.clean_tokens_c(t, "u"), text.finish_tokens_c(text.raw_tokens_c(t, "u"))),
+            (text.clean_tokens_d(t), text.finish_tokens_c(text.raw_tokens_d(t)))):
+        found = rows.select("id", whole.alias("a"), steps.alias("b")).collect()
+        assert [r["a"] for r in found] == [r["b"] for r in found]
+        plan = rows.select(whole)._jdf.queryExecution().executedPlan().toString()
+        assert "lambdafunction" not in plan  # no step per token of every text
+
+
+def test_stem_of_a_word_equals_the_columns(spark):
+    endings = [*stem_module.STEP_1A, *stem_module.STEP_2, *stem_module.STEP_3, *stem_module.STEP_4,
+               "ion", "sion", "tion", "ing", "ed", "eed", "e", "y", "ll"]
+    words = [a + b + c for a in ("", "y", "hop", "oper", "tr", "controll", "gener", "vis")
+             for b in endings for c in ("", "s", "ing", "ed", "ness")]
+    rows = spark.createDataFrame([(w, stem_module.stem(w)) for w in words], "w string, s string")
+    assert rows.where(stem_word(F.col("w")) != F.col("s")).count() == 0

@@ -1,12 +1,14 @@
-"""Porter's suffix stripping (1980) as columns.
+"""Porter's suffix stripping (1980), as columns and for one word.
 
 A word's measure is a pattern over its consonants and vowels, and the steps are conditional
 expressions over all tokens of a text, one after the other; nothing leaves the JVM. Each step
 looks at the last two letters first, so that patterns run on the few words they may change.
+:func:`stem` has the same rules for one word, for batches that stem each distinct word once.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -135,3 +137,57 @@ def stem_tokens(tokens: Column, protect: Sequence[str] = ()) -> Column:
 def stem_word(word: Column, protect: Sequence[str] = ()) -> Column:
     """Stem of one word per row."""
     return F.get(stem_tokens(F.array(word), protect), 0)
+
+
+def _by_ending(rules: Mapping[str, str]) -> dict[str, list[tuple[str, str]]]:
+    """Rules by the last two letters of their suffix, longest suffix first."""
+    out: dict[str, list[tuple[str, str]]] = {}
+    for suffix in sorted(rules, key=len, reverse=True):
+        out.setdefault(suffix[-2:], []).append((suffix, rules[suffix]))
+    return out
+
+
+BY_ENDING = [(_by_ending(rules), re.compile(condition).match) for rules, condition in (
+    (STEP_2, M_ABOVE_0), (STEP_3, M_ABOVE_0),
+    (dict.fromkeys(STEP_4, "") | {"sion": "s", "tion": "t"}, M_ABOVE_1))]
+WORD_HAS_VOWEL, WORD_ABOVE_0, WORD_ABOVE_1, WORD_EQUALS_1, WORD_SHORT = (
+    re.compile(x).match for x in (HAS_VOWEL, M_ABOVE_0, M_ABOVE_1, M_EQUALS_1, SHORT))
+
+
+def _plural(word: str) -> str:
+    suffix = next((x for x in sorted(STEP_1A, key=len, reverse=True) if word.endswith(x)), None)
+    return word if suffix is None else word[:-len(suffix)] + STEP_1A[suffix]
+
+
+def _repair(stem: str) -> str:
+    if re.search(DOUBLED, stem):
+        return stem[:-1]
+    return stem + "e" if stem.endswith(("at", "bl", "iz")) or WORD_SHORT(stem) else stem
+
+
+def stem(word: str) -> str:
+    """Stem of one lower-case word; equals :func:`stem_word`."""
+    if len(word) <= 2:
+        return word
+    word = "Y" + word[1:] if word[0] == "y" else word
+    word = _plural(word) if word[-1] == "s" else word
+    if word.endswith("eed"):
+        word = word[:-1] if WORD_ABOVE_0(word[:-3]) else word
+    elif cut := 3 * word.endswith("ing") or 2 * word.endswith("ed"):
+        word = _repair(word[:-cut]) if WORD_HAS_VOWEL(word[:-cut]) else word
+    if word.endswith("y") and WORD_HAS_VOWEL(word[:-1]):
+        word = word[:-1] + "i"
+    for rules, fits in BY_ENDING:
+        for suffix, new in rules.get(word[-2:], ()):
+            if word.endswith(suffix):
+                # Of -sion and -tion the s or t stays, and is part of the stem.
+                kept = word[:-len(suffix)] + (new if suffix in ("sion", "tion") else "")
+                if fits(kept):
+                    word = word[:-len(suffix)] + new
+                break
+    if word.endswith("e") and (WORD_ABOVE_1(word[:-1]) or WORD_EQUALS_1(
+            word[:-1]) and not WORD_SHORT(word[:-1])):
+        word = word[:-1]
+    if word.endswith("ll") and WORD_ABOVE_1(word):
+        word = word[:-1]
+    return word.lower()
