@@ -65,7 +65,8 @@ def fit_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int =
     """(model, vocabulary) of an LDA over IDF-weighted counts.
 
     The count vectors are written to the shared work folder: the fit passes over them
-    once per iteration, and a lost executor re-reads them instead of cleaning again.
+    once per iteration, and a lost executor re-reads them instead of cleaning again. What the
+    executors have room for is kept weighted while it is fitted.
     """
     spark = docs.sparkSession
     vocabulary = fit_vocabulary(docs, tokens, vocab_size, min_df)
@@ -75,8 +76,11 @@ def fit_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int =
         "raw_features").write.parquet(path)
     counts = spark.read.parquet(path)
     features = IDF(inputCol="raw_features", outputCol="features").fit(counts).transform(counts)
+    features = features.select("features").persist()
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="features")
-    return lda.fit(features), model.vocabulary
+    fitted = lda.fit(features)
+    features.unpersist()
+    return fitted, model.vocabulary
 
 
 def lda_topics(docs: DataFrame, tokens: str, k: int = N_TOPICS, max_iter: int = MAX_ITER,
