@@ -1,11 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 from cases import documents, odd_documents, prose, shingles
 from pyspark.sql import functions as F
 
 from trendloom.llm import jaccard_join as jj
 from trendloom.llm.components import components
+from trendloom.llm.hashing import U, mix
 
 
 def brute_force(rows):
@@ -106,3 +108,60 @@ def test_components(spark, links):
     got = components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.component for r in got.collect()} == {x: root(x) for x in parent}
     assert got.count() == len(parent)
+
+
+def test_two_members_are_settled_and_large_groups_are_not(spark):
+    """Shingles of two groups of one member each do not go into the later rounds."""
+    index = spark.createDataFrame(
+        [(1, 10, 0, False), (1, 11, 0, False), (2, 10, 1, False), (2, 12, 1, False),
+         (3, 10, 2, True), (3, 11, 2, True), (3, 13, 2, True)],
+        "token long, gid long, pos int, more boolean")
+    large = spark.createDataFrame([(12,), (99,)], "gid long")
+    got = jj._unsettled(index, large)
+    assert sorted((r.token, r.gid) for r in got.collect()) == [
+        (2, 10), (2, 12), (3, 10), (3, 11), (3, 13)]
+
+
+def test_signatures_of_long_sets_tell(spark):
+    """Long sets that share a half are told apart, similar ones of other lengths are not."""
+    rng = np.random.default_rng(5)
+
+    def row(tokens):
+        fine = jj._signature(tokens, jj._fine_bits(len(tokens)))
+        return len(tokens), (jj._signature(tokens).tolist(), fine.tolist())
+    tokens = np.unique(mix(rng.integers(0, 1 << 60, 4200).astype(U)))
+    rows = []
+    for other in (np.append(tokens[:2100], tokens[2100:] + U(1)), tokens[:3700], tokens[:4090]):
+        rows.append((*row(tokens), *row(np.unique(other))))
+    kind = "struct<words: array<long>, fine: array<long>>"
+    pairs = spark.createDataFrame(rows, f"n long, s {kind}, m long, t {kind}")
+    got = pairs.select(jj._alike("n", "s", "m", "t", 80).alias("may")).collect()
+    assert [r.may for r in got] == [False, True, True]
+
+
+def test_classes_are_bridged_by_few_pairs(spark, monkeypatch):
+    """Two large classes under common shingles cost one pair more, not one for each member."""
+    rng, verified, verify = random.Random(6), [], jj._verified
+    base, rows = prose(rng, 200, 10**6).split(), []
+    for i in range(2):
+        for j in range(30):
+            own = list(base)
+            own[5 + i * 60:13 + i * 60] = [f"class{i}w{k}" for k in range(8)]
+            own[150 + j % 30] = f"member{i}x{j}"
+            rows.append((100 * i + j, " ".join(own)))
+
+    def counted(pairs, *more):
+        verified.append(pairs.count())
+        return verify(pairs, *more)
+    monkeypatch.setattr(jj, "_verified", counted)
+    want, _ = brute_force(rows)
+    assert found(jj.jaccard_classes(documents(spark, rows))) == want
+    assert sum(verified[1:]) <= 30, verified
+
+
+def test_further_links_join_classes(spark):
+    classes = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)],
+                                    "node long, component long")
+    links = spark.createDataFrame([(2, 6), (6, 7), (0, 9), (20, 21)], "a long, b long")
+    got = {r.node: r.component for r in jj._joined(classes, links).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 7: 1, 8: 0, 9: 0, 0: 0, 20: 20, 21: 20}

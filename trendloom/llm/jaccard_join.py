@@ -7,11 +7,13 @@ texts.
 
 The answer wanted is the connected classes, so links inside a class already known need no
 proof. A first round verifies a star in every prefix shingle and size band and joins the
-classes it finds. A few members of each shingle's largest class are then tried with all
-others there. The last round verifies every pair of members that share a prefix
+classes it finds. A few members of each shingle's largest class are then compared with all
+others there, and for every two classes the closest pair by signature is verified. The last
+round verifies every pair of members that share a prefix
 shingle, pass the filters by size, position and parity signature (all without false
 rejections) and are still in different classes. Dense groups
-of copies thus cost one verification a member, and no link between classes is lost.
+of copies thus cost one verification a member, and no link between classes is lost. Shingles
+of two members alone, by far the most, are settled by the first round and left out later.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ ORDER_BITS = 25  # frequencies are counted for 2^ORDER_BITS classes of shingles
 STEPS = 8  # levels of frequency to a doubling
 MOST_SEEN = 1 << 20  # groups that a task remembers to have sent
 CHUNK_BITS = 19  # counts that travel in one row
-SIGNATURE = 8  # 64-bit words of a set's parity signature
+SIGNATURE = 8  # 64-bit words of a set's parity signature; larger sets have a finer one as well
 
 
 def _order(docs: DataFrame, size: int) -> np.ndarray:
@@ -98,20 +100,49 @@ def _fingerprint(tokens: np.ndarray) -> bytes:
     return a.to_bytes(8, "big") + b.to_bytes(8, "big")
 
 
-def _signature(tokens: np.ndarray) -> np.ndarray:
-    """For each of 64 * SIGNATURE classes of shingles, whether the set has an odd number.
+def _signature(tokens: np.ndarray, bits: int = 64 * SIGNATURE) -> np.ndarray:
+    """For each of ``bits`` classes of shingles, whether the set has an odd number.
     Two signatures differ in no more bits than the sets have shingles apart."""
-    bits = 64 * SIGNATURE
     odd = np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _fine_bits(n: int) -> int:
+    """Bits of the finer signature of a set of ``n`` shingles: a power of two from n on. Half of
+    any bits differ by chance, so fewer tell nothing. Sets of few shingles need none."""
+    bits = 1 << max(n - 1, 0).bit_length()
+    return bits if bits > 64 * SIGNATURE else 0
+
+
+def _apart(left: str, right: str) -> Column:
+    """Bits in which the signatures differ."""
+    left, right = F.col(left)["words"], F.col(right)["words"]
+    return sum((F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(SIGNATURE)), F.lit(0))
+
+
+def _apart_finely(left: str, right: str) -> Column:
+    """The same of the finer signatures, where both sets have one and of like length, else NULL.
+    Halves of a signature make the next shorter one."""
+    left, right = F.col(left)["fine"], F.col(right)["fine"]
+    size = F.least(F.size(left), F.size(right))
+
+    def folded(words: Column) -> Column:
+        return F.when(F.size(words) > size, F.zip_with(
+            F.slice(words, 1, size), F.slice(words, size + 1, size),
+            lambda x, y: x.bitwiseXOR(y))).otherwise(words)
+
+    bits = F.zip_with(folded(left), folded(right), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.when((size > 0) & (F.greatest(F.size(left), F.size(right)) <= 2 * size),
+                  F.aggregate(bits, F.lit(0), lambda total, x: total + x))
+
+
 def _alike(n: str, left: str, m: str, right: str, percent: int) -> Column:
     """The signatures allow the similarity: the sets are at most
     (n + m) * (100 - percent) / (100 + percent) shingles apart."""
-    apart = sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i]))
-                 for i in range(SIGNATURE)), F.lit(0))
-    return apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent)
+    def few(apart: Column) -> Column:
+        return apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent)
+
+    return few(_apart(left, right)) & F.coalesce(few(_apart_finely(left, right)), F.lit(True))
 
 
 def _sets(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -122,7 +153,7 @@ def _sets(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataF
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            counts, nodes, groups, signatures, prefixes = [], [], [], [], []
+            counts, nodes, groups, signatures, finer, prefixes = [], [], [], [], [], []
             for _, hashes in batch_shingles(batch.column(2), size):
                 tokens = ordered_set(hashes, shared.value)
                 n = len(tokens)
@@ -133,6 +164,7 @@ def _sets(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataF
                 nodes.append(_fingerprint(tokens) if n else None)
                 groups.append(group)
                 signatures.append(_signature(tokens))
+                finer.append(_signature(tokens, _fine_bits(n)) if _fine_bits(n) else [])
                 prefixes.append(None if not n or group in seen else prefix.view(np.int64))
                 if len(seen) >= MOST_SEEN:
                     seen.clear()
@@ -140,12 +172,15 @@ def _sets(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
                  pa.array(nodes, pa.binary()), pa.array(groups, pa.int64()),
-                 pa.array(signatures, pa.list_(pa.int64())),
+                 pa.StructArray.from_arrays(
+                     [pa.array(signatures, pa.list_(pa.int64())),
+                      pa.array(finer, pa.list_(pa.int64()))], names=["words", "fine"]),
                  pa.array(prefixes, pa.list_(pa.int64()))],
                 names=["doc_id", "row_key", "n", "node", "gid", "signature", "prefix"])
 
     return docs.mapInArrow(made, "doc_id long, row_key long, n long, node binary, gid long, "
-                                 "signature array<long>, prefix array<long>")
+                                 "signature struct<words: array<long>, fine: array<long>>, "
+                                 "prefix array<long>")
 
 
 def _fits(n: str, m: str, percent: int) -> Column:
@@ -162,9 +197,9 @@ def _reaches(n: str, i: str, m: str, j: str, percent: int) -> Column:
 
 
 def _index(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, gid, n, pos, reps): the prefix shingles that several groups share. ``reps``
-    are the first group of the shingle's size band and the first of the shingle, by size. The
-    index moves once."""
+    """(token, gid, n, pos, reps, more): the prefix shingles that several groups share. ``reps``
+    are the first group of the shingle's size band and the first of the shingle, by size.
+    ``more`` is whether more than two groups share it. The index moves once."""
     # Size and place travel as one number, which sorts by size.
     rows = sets.where(F.col("prefix").isNotNull()).select(
         "gid", "n", F.posexplode("prefix").alias("pos", "token")).select(
@@ -187,7 +222,20 @@ def _index(sets: DataFrame, percent: int) -> DataFrame:
 
     return rows.select(
         "token", "gid", size.cast("int").alias("n"), place("at").alias("pos"),
-        F.array_distinct(F.array("_rep", "_first")).alias("reps"))
+        F.array_distinct(F.array("_rep", "_first")).alias("reps"),
+        (F.count("*").over(whole) > 2).alias("more"))
+
+
+def _unsettled(index: DataFrame, large: DataFrame) -> DataFrame:
+    """The rows of ``index`` whose shingle has more than two members. Two groups of one member
+    each have been tried with each other, which is all there is. ``large`` has the ``gid`` of
+    the groups of several members."""
+    two = index.where(~F.col("more")).select("gid", "token")
+    tokens = stored(rows_with_keys(two, large, "gid").join(large, "gid").select("token").distinct(),
+                    "jaccard-large")
+    rows = index.select("token", "gid", "pos", "more")
+    again = rows_with_keys(rows.where(~F.col("more")), tokens, "token").join(tokens, "token")
+    return rows.where("more").unionByName(again).drop("more")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -231,6 +279,21 @@ def _bridges(rows: DataFrame) -> DataFrame:
         f"_{i}" for i in range(BRIDGES)]))).alias("_row")).select("token", "_row.*")
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component): ``classes`` after further links. Only the links between classes are
+    followed. Nodes without a class yet are classes of their own."""
+    ends = links
+    for end in "ab":
+        ends = ends.join(classes.withColumnRenamed("node", end), end, "left").withColumn(
+            end, F.coalesce("component", end)).drop("component")
+    found = components(ends).select(F.col("node").alias("component"),
+                                    F.col("component").alias("_name"))
+    known = classes.join(found, "component", "left").select(
+        "node", F.coalesce("_name", "component").alias("component"))
+    fresh = found.select(F.col("component").alias("node"), F.col("_name").alias("component"))
+    return stored(known.unionByName(fresh.join(classes, "node", "left_anti")), "jaccard-classes")
+
+
 def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
                     percent: int = PERCENT) -> DataFrame:
     """(doc_id, row_key, n_shingles, component_id, component) per row of ``docs``.
@@ -274,11 +337,12 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     signatures = members.select("node", "signature")
-    expanded = index.select("token", "gid", "pos").join(members.drop("signature"), "gid").select(
-        "token", "node", "n", "pos")
+    several = stored(members.groupBy("gid").agg(F.count("*").alias("_size")).where("_size > 1"),
+                     "jaccard-several")
+    expanded = _unsettled(index, several.select("gid")).join(
+        members.drop("signature"), "gid").select("token", "node", "n", "pos")
     # The members of a group share their whole prefix; for them the group is one shingle more.
-    large = members.groupBy("gid").agg(F.count("*").alias("_size")).where("_size > 2")
-    alike = members.join(large, "gid", "left_semi").select(
+    alike = members.join(several.where("_size > 2"), "gid", "left_semi").select(
         F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"))
     tokens = stored(expanded.unionByName(alike), "jaccard-tokens")
     for bridge in (True, False):
@@ -304,14 +368,27 @@ def jaccard_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", si
             & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("node")))
             & _fits("an", "n", percent) & _reaches("an", "ap", "n", "pos", percent)
             & _alike("an", "as", "n", "signature", percent))
-        rest = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        rest = stored(rest.distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
+        if bridge:
+            # Of two classes the closest pair that has not been tried.
+            distance = F.coalesce(_apart_finely("as", "signature"), _apart("as", "signature"))
+            rest = rest.select(
+                F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"),
+                (distance / (F.col("an") + F.col("n"))).alias("_apart"),
+                F.least("ac", "component").alias("_one"),
+                F.greatest("ac", "component").alias("_other"))
+            rest = rest.join(tried, ["a", "b"], "left_anti").groupBy("_one", "_other").agg(
+                F.min(F.struct("_apart", "a", "b")).alias("_pair")).select("_pair.a", "_pair.b")
+        else:
+            rest = rest.select(F.least("a", "node").alias("a"),
+                               F.greatest("a", "node").alias("b"))
+            rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
+        rest = stored(rest, "jaccard-rest")
         if rest.isEmpty():
             continue
         more = stored(_verified(rest, _texts(docs, sets, rest), size, percent), "jaccard-more")
-        tried, links = tried.unionByName(rest), links.unionByName(more)
+        tried = tried.unionByName(rest)
         if not more.isEmpty():
-            classes = components(links)
+            classes = _joined(classes, more)
 
     full = sets.where(F.col("n") > 0).select("doc_id", "row_key", "n", "node").join(
         classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
