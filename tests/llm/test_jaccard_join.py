@@ -165,3 +165,28 @@ def test_further_links_join_classes(spark):
     links = spark.createDataFrame([(2, 6), (6, 7), (0, 9), (20, 21)], "a long, b long")
     got = {r.node: r.component for r in jj._joined(classes, links).collect()}
     assert got == {1: 1, 2: 1, 5: 1, 6: 1, 7: 1, 8: 0, 9: 0, 0: 0, 20: 20, 21: 20}
+
+
+def test_only_rows_that_may_go_are_moved(spark):
+    """Texts of rows that stay alone in their class are not shuffled, however many there are."""
+    rng = random.Random(7)
+    rows = [(i, prose(rng, 40, 10**6)) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(5)] + [(7, rows[7][1])]
+    docs = documents(spark, rows)
+    classes = jj.jaccard_classes(docs)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        kept = jj.keep_one(docs, classes)
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(300))
+        moved = {}
+        real = jj.rows_by_bits
+        try:
+            jj.rows_by_bits = lambda df, bits, inside: moved.setdefault(
+                inside, real(df, bits, inside))
+            jj.keep_one(docs, classes)
+        finally:
+            jj.rows_by_bits = real
+        assert moved[True].count() <= 20 and moved[False].count() >= 290
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

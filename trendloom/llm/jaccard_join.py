@@ -31,7 +31,9 @@ from trendloom.llm.components import components
 from trendloom.llm.hashing import (
     U, batch_shingles, mix, shingle_hashes, slabs, text_bytes, word_hashes,
 )
-from trendloom.llm.storage import bounded_batches, rows_with_keys, stored
+from trendloom.llm.storage import (
+    bounded_batches, key_bits, rows_by_bits, rows_with_keys, stored,
+)
 
 SIZE = 5  # words of a shingle
 PERCENT = 80  # least Jaccard similarity
@@ -405,7 +407,9 @@ def keep_one(docs: DataFrame, classes: DataFrame, key: str = "doc_id",
     """One row of every class of :func:`jaccard_classes`, with all columns of ``docs``: of the
     rows with the class's smallest key, the one with the smallest row key; a class whose keys
     are all NULL likewise. All rows without words stay, repeated ones too. An empty table
-    gives no rows. Columns of ``docs`` may have any names."""
+    gives no rows. Columns of ``docs`` may have any names. Only rows that may be left out or
+    repeated are moved; a bitmap of fixed size of their row keys tells."""
+    bounded_batches(docs.sparkSession)
     firsts = classes.where(F.col("component").isNotNull()
                            & F.col("doc_id").eqNullSafe(F.col("component_id")))
     firsts = firsts.groupBy("component", "row_key").agg(F.count("*").alias("_copies")).groupBy(
@@ -415,9 +419,15 @@ def keep_one(docs: DataFrame, classes: DataFrame, key: str = "doc_id",
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     value = F.col("_row")
     words = F.coalesce(value[text].cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    full = rows.where(words).withColumn("_row_key", F.xxhash64(
-        value[key].cast("long"), value[text].cast("string"))).join(firsts, "_row_key")
+    others = classes.where(F.col("component").isNotNull()).select(
+        F.col("row_key").alias("_row_key")).distinct().join(
+        firsts.where("_copies = 1"), "_row_key", "left_anti")
+    shared = key_bits(others, "_row_key")
+    keyed = rows.where(words).select(F.xxhash64(
+        value[key].cast("long"), value[text].cast("string")).alias("_row_key"), "_row")
+    full = rows_by_bits(keyed, shared, True).join(firsts, "_row_key")
     repeated = full.where("_copies > 1").withColumn("_n", F.row_number().over(
         Window.partitionBy("_row_key").orderBy(F.lit(1)))).where("_n = 1")
-    return full.where("_copies = 1").select("_row").unionByName(
+    return rows_by_bits(keyed, shared, False).select("_row").unionByName(
+        full.where("_copies = 1").select("_row")).unionByName(
         repeated.select("_row")).unionByName(rows.where(~words)).select("_row.*")
