@@ -42,6 +42,7 @@ ORDER_BITS = 25  # frequencies are counted for 2^ORDER_BITS classes of shingles
 STEPS = 8  # levels of frequency to a doubling
 MOST_SEEN = 1 << 20  # groups that a task remembers to have sent
 CHUNK_BITS = 19  # counts that travel in one row
+SPARSE = 64  # a chunk with a non-zero count in so many or more travels as places and counts
 SIGNATURE = 8  # 64-bit words of a set's parity signature; larger sets have a finer one as well
 
 
@@ -59,29 +60,45 @@ def _order(docs: DataFrame, size: int) -> np.ndarray:
                 at, n = np.unique((hashes >> U(64 - ORDER_BITS)).astype(np.int64),
                                   return_counts=True)
                 total[at] = np.minimum(total[at] + n, 255)
-        parts = [(i, total[i * chunk:(i + 1) * chunk]) for i in range(classes // chunk)]
-        parts = [(i, zlib.compress(part.tobytes(), 1)) for i, part in parts if part.any()]
+        rows = []
+        for i in range(classes // chunk):
+            part = total[i * chunk:(i + 1) * chunk]
+            at = np.flatnonzero(part)
+            if len(at) * SPARSE <= chunk:
+                packed = at.astype(np.int32).tobytes(), part[at].tobytes()
+            else:
+                packed = None, zlib.compress(part.tobytes(), 1)
+            if len(at):
+                rows.append((i, *packed))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in parts], pa.int32()),
-             pa.array([part for _, part in parts], pa.binary())], names=["chunk", "counts"])
+            [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(
+                (pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "places", "counts"])
 
     def levelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for i, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(zlib.decompress(part.as_buffer()), np.uint8)
-                totals.setdefault(i, np.zeros(chunk, np.int64))[:] += part
+            for i, places, part in zip(batch.column(0).to_pylist(), batch.column(1),
+                                       batch.column(2)):
+                if i not in totals:
+                    totals[i] = np.zeros(chunk, np.int64)
+                if places.is_valid:
+                    totals[i][np.frombuffer(places.as_buffer(), np.int32)] += np.frombuffer(
+                        part.as_buffer(), np.uint8)
+                else:
+                    totals[i] += np.frombuffer(zlib.decompress(part.as_buffer()), np.uint8)
         levels = [np.minimum(STEPS * np.log2(n + 1.0), 255).astype(np.uint8)
                   for n in totals.values()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.int32()), pa.array([x.tobytes() for x in levels], pa.binary())],
+            [pa.array(list(totals), pa.int32()),
+             pa.array([zlib.compress(x.tobytes(), 1) for x in levels], pa.binary())],
             names=["chunk", "levels"])
 
     levels = np.zeros(classes, np.uint8)
-    for row in docs.mapInArrow(counted, "chunk int, counts binary").repartition("chunk").mapInArrow(
-            levelled, "chunk int, levels binary").toLocalIterator():
+    # At most 32 MB, compressed, in one job: an iterator would start one for each partition.
+    for row in docs.mapInArrow(counted, "chunk int, places binary, counts binary").repartition(
+            "chunk").mapInArrow(levelled, "chunk int, levels binary").collect():
         at = row["chunk"] * chunk
-        levels[at:at + chunk] = np.frombuffer(row["levels"], np.uint8)
+        levels[at:at + chunk] = np.frombuffer(zlib.decompress(row["levels"]), np.uint8)
     return levels
 
 
