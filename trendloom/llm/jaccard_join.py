@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from trendloom.llm.components import components
 from trendloom.llm.hashing import (
-    U, batch_shingles, mix, shingle_hashes, slabs, text_bytes, word_hashes,
+    HASH_BYTES, U, batch_shingles, mix, shingle_hashes, slabs, text_bytes, word_hashes,
 )
 from trendloom.llm.storage import (
     bounded_batches, key_bits, rows_by_bits, rows_with_keys, stored,
@@ -42,7 +42,7 @@ ORDER_BITS = 25  # frequencies are counted for 2^ORDER_BITS classes of shingles
 STEPS = 8  # levels of frequency to a doubling
 MOST_SEEN = 1 << 20  # groups that a task remembers to have sent
 CHUNK_BITS = 19  # counts that travel in one row
-SPARSE = 64  # a chunk with a non-zero count in so many or more travels as places and counts
+SPARSE = 64  # a chunk where one count in so many, or fewer, is not zero travels as places and counts
 SIGNATURE = 8  # 64-bit words of a set's parity signature; larger sets have a finer one as well
 
 
@@ -55,7 +55,7 @@ def _order(docs: DataFrame, size: int) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(classes, np.uint8)  # of one task; a class is frequent at 255 already
         for batch in batches:
-            for _, _, part, inner in slabs(*text_bytes(batch.column(0))):
+            for _, _, part, inner in slabs(*text_bytes(batch.column(0)), HASH_BYTES):
                 hashes, _ = shingle_hashes(*word_hashes(part, inner), size)
                 at, n = np.unique((hashes >> U(64 - ORDER_BITS)).astype(np.int64),
                                   return_counts=True)

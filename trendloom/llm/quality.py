@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm.hashing import (
-    BYTES, EXACT_CODE, SHINGLE_BASE, SPACE, U, mix, slabs, text_bytes, word_hashes,
+    BYTES, EXACT_CODE, HASH_BYTES, SHINGLE_BASE, SPACE, U, mix, slabs, text_bytes, word_hashes,
 )
 from trendloom.llm.storage import bounded_batches
 
@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             rows, counts = [], []
-            for _, _, part, inner in slabs(data, offsets):
+            for _, _, part, inner in slabs(data, offsets, HASH_BYTES):
                 found, bounds = features(part, inner, bits)
                 for lo, hi in zip(bounds[:-1], bounds[1:]):
                     at, n = np.unique(found[lo:hi], return_counts=True)
@@ -166,7 +166,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", threshold: f
         for batch in batches:
             data, offsets = text_bytes(batch.column(batch.num_columns - 1))
             parts = [margins(*features(part, inner, bits), shared.value)
-                     for _, _, part, inner in slabs(data, offsets)]
+                     for _, _, part, inner in slabs(data, offsets, HASH_BYTES)]
             margin = np.concatenate(parts) if parts else np.zeros(0)
             chance = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             yield pa.RecordBatch.from_arrays(
